@@ -84,11 +84,11 @@ def cohort_retention(clean: DataFrame) -> DataFrame:
     return sizes.withColumn("retention_pct", F.col("customers") / size * 100)
 
 
-def cohort_matrix(retention: DataFrame, periods: int | None = None) -> DataFrame:
-    """Wide form: one column per period, null where a cohort has no such period."""
-    if periods is None:
-        last = retention.agg(F.max("period_index")).first()[0]
-        periods = 0 if last is None else last + 1
+def cohort_matrix(retention: DataFrame) -> DataFrame:
+    """Wide form: one column per period that the data spans, null where a cohort has no
+    such period."""
+    last = retention.agg(F.max("period_index")).first()[0]
+    periods = 0 if last is None else last + 1
     return (
         retention.groupBy("cohort_month")
         .pivot("period_index", list(range(periods)))

@@ -184,16 +184,18 @@ def cohort_retention(spark, sf_dir):
     return profile.cohort_retention(clean_lines(spark, sf_dir))
 
 
+# The clean lines span 79 months, so the SQL lists periods 0 to 78; the operator takes the
+# width from the data.
 @query(
     with_clean(MONTHS_SQL, RETENTION_SQL)
     + "SELECT cohort_month, "
     + ", ".join(
-        f'MAX(retention_pct) FILTER (period_index = {i}) AS "{i}"' for i in range(12)
+        f'MAX(retention_pct) FILTER (period_index = {i}) AS "{i}"' for i in range(79)
     )
     + " FROM retention GROUP BY cohort_month"
 )
 def cohort_matrix(spark, sf_dir):
-    return profile.cohort_matrix(profile.cohort_retention(clean_lines(spark, sf_dir)), periods=12)
+    return profile.cohort_matrix(profile.cohort_retention(clean_lines(spark, sf_dir)))
 
 
 @query(

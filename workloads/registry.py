@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,3 +24,21 @@ def query(sql: str | None = None, name: str | None = None) -> Callable[[Query],
         return function
 
     return register
+
+
+MODULES = ("cleaning_queries", "segment_queries")
+
+
+def _load() -> None:
+    for module in MODULES:
+        importlib.import_module(f"workloads.{module}")
+
+
+def queries() -> dict[str, Query]:
+    _load()
+    return QUERIES
+
+
+def oracles() -> dict[str, str]:
+    _load()
+    return ORACLES

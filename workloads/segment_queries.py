@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from patronage.operators import segments
+from patronage.operators import charts, segments
 from patronage.operators.profile import orders_per_customer
 from workloads.registry import query
 from workloads.retail import (
@@ -104,8 +104,6 @@ def segment_summary(spark, sf_dir):
     )
 )
 def segment_averages(spark, sf_dir):
-    from patronage.operators import charts
-
     return charts.segment_averages(
         segments.segment_summary(segments.segment_customers(staged_clean(spark, sf_dir)))
     )
@@ -205,7 +203,7 @@ def rfm_describe(spark, sf_dir):
 
 @query(
     with_clean()
-    + """SELECT CAST(order_count AS VARCHAR) AS value, 'order_count' AS metric,
+    + """SELECT 'order_count' AS metric, CAST(order_count AS VARCHAR) AS value,
   COUNT(*) AS customers
 FROM (SELECT CustomerID, COUNT(DISTINCT InvoiceNo) AS order_count FROM clean GROUP BY CustomerID)
 GROUP BY order_count"""
