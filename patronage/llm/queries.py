@@ -8,7 +8,9 @@ from patronage.llm.columns import table
 from patronage.llm.decontaminate import contamination
 from patronage.llm.exact_dedup import exact_groups
 from patronage.llm.language_id import identify_language
+from patronage.llm.packing import pack_documents
 from patronage.llm.token_count import token_counts
+from patronage.llm.token_files import token_round_trip
 
 
 def op1_token_counts(spark, sf_dir):
@@ -25,15 +27,29 @@ def op4_exact_dedup(spark, sf_dir):
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op6_token_files(spark, sf_dir):
+    return token_round_trip(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end=0
+    )
+
+
 def op7_language_id(spark, sf_dir):
     return identify_language(table(spark, sf_dir, "documents"))
 
 
+def op10_packing(spark, sf_dir):
+    return pack_documents(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end=1
+    )
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_decontamination": op2_decontamination,
     "op4_exact_dedup": op4_exact_dedup,
+    "op6_token_files": op6_token_files,
     "op7_language_id": op7_language_id,
+    "op10_packing": op10_packing,
 }
 
 ORACLES = {
