@@ -8,6 +8,7 @@ from patronage.llm.columns import table
 from patronage.llm.decontaminate import contamination
 from patronage.llm.exact_dedup import exact_groups
 from patronage.llm.language_id import identify_language
+from patronage.llm.near_dedup import near_groups
 from patronage.llm.packing import pack_documents
 from patronage.llm.token_count import token_counts
 from patronage.llm.token_files import token_round_trip
@@ -23,6 +24,11 @@ def op2_decontamination(spark, sf_dir):
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_near_dedup(spark, sf_dir):
+    groups = near_groups(table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", "class_id", "class_size", "kept")
+
+
 def op4_exact_dedup(spark, sf_dir):
     return exact_groups(table(spark, sf_dir, "documents"))
 
@@ -46,6 +52,7 @@ def op10_packing(spark, sf_dir):
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_decontamination": op2_decontamination,
+    "op3_near_dedup": op3_near_dedup,
     "op4_exact_dedup": op4_exact_dedup,
     "op6_token_files": op6_token_files,
     "op7_language_id": op7_language_id,
