@@ -10,8 +10,10 @@ from patronage.llm.exact_dedup import exact_groups
 from patronage.llm.language_id import identify_language
 from patronage.llm.near_dedup import near_groups
 from patronage.llm.packing import pack_documents
+from patronage.llm.quality import score_quality
 from patronage.llm.token_count import token_counts
 from patronage.llm.token_files import token_round_trip
+from patronage.llm.toxicity import score_toxicity
 
 
 def op1_token_counts(spark, sf_dir):
@@ -33,6 +35,10 @@ def op4_exact_dedup(spark, sf_dir):
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark, sf_dir):
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_token_files(spark, sf_dir):
     return token_round_trip(
         table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end=0
@@ -43,6 +49,10 @@ def op7_language_id(spark, sf_dir):
     return identify_language(table(spark, sf_dir, "documents"))
 
 
+def op8_quality(spark, sf_dir):
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_packing(spark, sf_dir):
     return pack_documents(
         table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end=1
@@ -54,8 +64,10 @@ QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op3_near_dedup": op3_near_dedup,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_toxicity": op5_toxicity,
     "op6_token_files": op6_token_files,
     "op7_language_id": op7_language_id,
+    "op8_quality": op8_quality,
     "op10_packing": op10_packing,
 }
 
