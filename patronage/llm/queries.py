@@ -11,6 +11,7 @@ from patronage.llm.language_id import identify_language
 from patronage.llm.near_dedup import near_groups
 from patronage.llm.packing import pack_documents
 from patronage.llm.quality import score_quality
+from patronage.llm.repeated_passages import repeated_passages
 from patronage.llm.token_count import token_counts
 from patronage.llm.token_files import token_round_trip
 from patronage.llm.toxicity import score_toxicity
@@ -53,6 +54,10 @@ def op8_quality(spark, sf_dir):
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_repeated_passages(spark, sf_dir):
+    return repeated_passages(table(spark, sf_dir, "documents")).drop("doc")
+
+
 def op10_packing(spark, sf_dir):
     return pack_documents(
         table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end=1
@@ -68,6 +73,7 @@ QUERIES = {
     "op6_token_files": op6_token_files,
     "op7_language_id": op7_language_id,
     "op8_quality": op8_quality,
+    "op9_repeated_passages": op9_repeated_passages,
     "op10_packing": op10_packing,
 }
 
