@@ -7,9 +7,9 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Money is added up as whole ten-thousandths in BIGINT: the sum is exact, does not
-# depend on the order of rows, and stays inside generated code. ANSI mode raises on
-# overflow (above 9e14 currency units) instead of wrapping.
+# Money is added up as whole ten-thousandths: the sum is exact, does not depend on the
+# order of rows, and stays inside generated code. BIGINT holds the sums of an order or a
+# customer (up to 9e14 currency units); wider sums go through ``grand_total``.
 UNITS = 10_000
 
 
@@ -23,12 +23,21 @@ def from_units(total: Column | str) -> Column:
     return total.cast("double") / F.lit(float(UNITS))
 
 
-def money_sum(amount: Column | str) -> Column:
-    return from_units(F.sum(units(amount)))
+def grand_total(amounts: Column | str) -> Column:
+    """Sum of whole units over many customers: wider than BIGINT."""
+    amounts = F.col(amounts) if isinstance(amounts, str) else amounts
+    return F.sum(amounts.cast("decimal(20,0)"))
 
 
-def money_mean(amount: Column | str) -> Column:
-    return money_sum(amount) / F.count(amount)
+def fine(value: Column | str) -> Column:
+    """A number with twelve decimals, for sums of scores that are not whole units and
+    must not depend on the order of rows."""
+    value = F.col(value) if isinstance(value, str) else value
+    return value.cast("decimal(38,12)")
+
+
+def fine_sum(value: Column | str) -> Column:
+    return F.sum(fine(value)).cast("double")
 
 
 def elapsed_days(start: Column | str, end: Column | str) -> Column:

@@ -35,9 +35,10 @@ SEGMENT_WEIGHTS = {
 
 
 def quartile_score(value: Column, edges: Sequence[float], best_is_low: bool = False) -> Column:
-    """1..4 by the first quartile edge that is not below the value."""
+    """1..4 by the first quartile edge that is not below the value; null for null."""
     scores = (4, 3, 2, 1) if best_is_low else (1, 2, 3, 4)
-    branch = F.when(value <= edges[0], scores[0])
+    branch = F.when(value.isNull(), F.lit(None))
+    branch = branch.when(value <= edges[0], scores[0])
     branch = branch.when(value <= edges[1], scores[1]).when(value <= edges[2], scores[2])
     return branch.otherwise(scores[3]).cast("int")
 
@@ -50,9 +51,11 @@ def rank_quartile(rank: Column, count: Column) -> Column:
 
 
 def segment(recency: Column, frequency: Column, monetary: Column) -> Column:
+    """A missing score gives Others."""
     fresh, often, large = recency >= 3, frequency >= 3, monetary >= 3
     return (
-        F.when((recency == 1) & (frequency == 1) & (monetary == 1), "Lost")
+        F.when(recency.isNull() | frequency.isNull() | monetary.isNull(), "Others")
+        .when((recency == 1) & (frequency == 1) & (monetary == 1), "Lost")
         .when((recency == 4) & (frequency == 4) & (monetary == 4), "Champions")
         .when(fresh & often & large, "Loyal Customers")
         .when(fresh & often, "Promising")
@@ -60,15 +63,15 @@ def segment(recency: Column, frequency: Column, monetary: Column) -> Column:
         .when(often & large, "At Risk")
         .when(often, "Need Attention")
         .when(large, "Big Spenders (Lapsed)")
-        .when(recency.isNotNull() & frequency.isNotNull() & monetary.isNotNull(), "Hibernating")
-        .otherwise("Others")
+        .otherwise("Hibernating")
     )
 
 
 def clv_tier(value: Column, edges: Sequence[float]) -> Column:
-    """Tier by the 40, 70 and 90 % quantiles, lower ends included."""
+    """Tier by the 40, 70 and 90 % quantiles, lower ends included; null for null."""
     return (
-        F.when(value >= edges[2], "Platinum")
+        F.when(value.isNull(), F.lit(None))
+        .when(value >= edges[2], "Platinum")
         .when(value >= edges[1], "Gold")
         .when(value >= edges[0], "Silver")
         .otherwise("Bronze")

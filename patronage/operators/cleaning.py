@@ -37,8 +37,9 @@ def whole_number(df: DataFrame, name: str, target: str) -> Column:
     return value.cast(target)
 
 
-def normalise(raw: DataFrame) -> DataFrame:
-    """Standard names and types; other columns pass through unchanged."""
+def normalise(raw: DataFrame, formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
+    """Standard names and types; other columns pass through unchanged. ``formats`` are the
+    text forms of dates to try after ISO."""
     raw = raw.withColumnsRenamed(ALIASES)
     if dict(raw.dtypes)["UnitPrice"] == "string":
         raw = raw.withColumn("UnitPrice", F.col("UnitPrice").try_cast("double"))
@@ -46,7 +47,7 @@ def normalise(raw: DataFrame) -> DataFrame:
         {
             "InvoiceNo": F.col("InvoiceNo").cast("string"),
             "Quantity": whole_number(raw, "Quantity", "int"),
-            "InvoiceDate": parse_timestamp(raw, "InvoiceDate"),
+            "InvoiceDate": parse_timestamp(raw, "InvoiceDate", formats),
             "UnitPrice": null_if_nan(raw, "UnitPrice"),
             "CustomerID": whole_number(raw, "CustomerID", "bigint"),
         }
@@ -68,13 +69,15 @@ def _kept_before_duplicates(lines: DataFrame, params: Params) -> DataFrame:
     )
 
 
-def clean_transactions(raw: DataFrame, params: Params = Params()) -> DataFrame:
+def clean_transactions(
+    raw: DataFrame, params: Params = Params(), formats: Sequence[str] = DATE_FORMATS
+) -> DataFrame:
     """Sales lines only: known customer, no cancellation, positive amounts, one
     country (or all), no outliers, no exact duplicates; ``Revenue`` added.
 
     The one shuffle is the duplicate test over whole rows; copies collapse before it.
     """
-    kept = _kept_before_duplicates(normalise(raw), params).dropDuplicates()
+    kept = _kept_before_duplicates(normalise(raw, formats), params).dropDuplicates()
     return kept.withColumns(
         {
             "is_cancellation": F.lit(False),
@@ -83,51 +86,61 @@ def clean_transactions(raw: DataFrame, params: Params = Params()) -> DataFrame:
     )
 
 
-def cleaning_report(raw: DataFrame, params: Params = Params()) -> DataFrame:
-    """One row: how many lines each cleaning step removed, and what is left.
+def cleaning_report(
+    raw: DataFrame, params: Params = Params(), formats: Sequence[str] = DATE_FORMATS
+) -> DataFrame:
+    """One row: how many lines each cleaning step removed, and what is left, beside the
+    lines without an invoice number and those whose date has no known form.
 
-    All step counts come from a single pass. Quantity and price outliers are both
-    counted on the lines before the outlier step, so a line can be in both.
+    Raw lines are read once: equal lines are counted, and every figure is a sum of those
+    counts. Quantity and price outliers are both counted on the lines before the outlier
+    step, so a line can be in both.
     """
-    lines = normalise(raw)
+    lines = normalise(raw, formats)
+    lines = lines.groupBy(*lines.columns).agg(F.count("*").alias("_copies"))
     known = F.col("CustomerID").isNotNull()
     sale = known & ~is_cancellation()
     positive_quantity = sale & (F.col("Quantity") > 0)
     positive = positive_quantity & (F.col("UnitPrice") > 0)
+
+    def rows(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col("_copies"))), F.lit(0))
+
     counts = [
-        F.count("*").alias("raw_rows"),
-        F.count_if(~known).alias("null_customer_ids_dropped"),
-        F.count_if(known & is_cancellation()).alias("cancellation_rows"),
-        F.count_if(sale & (F.col("Quantity") <= 0)).alias("negative_quantity_removed"),
-        F.count_if(positive_quantity & (F.col("UnitPrice") <= 0)).alias("negative_price_removed"),
+        rows(F.lit(True)).alias("raw_rows"),
+        rows(F.col("InvoiceNo").isNull()).alias("null_invoice_rows"),
+        rows(F.col("InvoiceDate").isNull()).alias("undated_rows"),
+        rows(~known).alias("null_customer_ids_dropped"),
+        rows(known & is_cancellation()).alias("cancellation_rows"),
+        rows(sale & (F.col("Quantity") <= 0)).alias("negative_quantity_removed"),
+        rows(positive_quantity & (F.col("UnitPrice") <= 0)).alias("negative_price_removed"),
     ]
     in_scope = positive
     if params.country:
         wanted = F.col("Country").eqNullSafe(F.lit(params.country))
-        counts.append(F.count_if(positive & ~wanted).alias("non_uk_rows_removed"))
+        counts.append(rows(positive & ~wanted).alias("non_uk_rows_removed"))
         in_scope = positive & wanted
+    small = F.col("Quantity") <= params.max_quantity
+    cheap = F.col("UnitPrice") <= params.max_unit_price
+    kept = in_scope & small & cheap
     counts += [
-        F.count_if(in_scope & (F.col("Quantity") > params.max_quantity)).alias(
-            "quantity_outliers_removed"
-        ),
-        F.count_if(in_scope & (F.col("UnitPrice") > params.max_unit_price)).alias(
-            "price_outliers_removed"
-        ),
+        rows(in_scope & ~small).alias("quantity_outliers_removed"),
+        rows(in_scope & ~cheap).alias("price_outliers_removed"),
+        F.coalesce(F.sum(F.when(kept, F.col("_copies") - 1)), F.lit(0)).alias("duplicates_removed"),
+        F.count_if(kept).alias("clean_rows"),
     ]
-    steps = lines.agg(*counts)
-    kept = _kept_before_duplicates(lines, params)
-    result = (
-        kept.groupBy(*kept.columns)
-        .agg(F.count("*").alias("_copies"))
-        .agg(
-            F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicates_removed"),
-            F.count("*").alias("clean_rows"),
-            F.count_distinct("CustomerID").alias("unique_customers"),
-            F.min("InvoiceDate").cast("date").alias("date_start"),
-            F.max("InvoiceDate").cast("date").alias("date_end"),
-        )
+    kept_date = F.when(kept, F.col("InvoiceDate"))
+    # One group per customer keeps the distinct count out of the sums above.
+    per_customer = lines.groupBy(F.when(kept, F.col("CustomerID")).alias("customer")).agg(
+        *counts, F.min(kept_date).alias("first"), F.max(kept_date).alias("last")
+    )
+    names = per_customer.columns[1:-2]
+    return per_customer.agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names],
+        F.count("customer").alias("unique_customers"),
+        F.min("first").cast("date").alias("date_start"),
+        F.max("last").cast("date").alias("date_end"),
     )
-    return steps.crossJoin(F.broadcast(result))
 
 
 def clean_data(raw: DataFrame, params: Params = Params()) -> tuple[DataFrame, DataFrame]:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from patronage.functions.columns import (
     elapsed_days,
     from_units,
+    grand_total,
     mean_gap_days,
     month_index,
     month_start,
@@ -110,8 +111,8 @@ def revenue_profile(clean: DataFrame) -> DataFrame:
     """One row of headline numbers; the median is exact."""
     whole = clean.agg(
         F.count_distinct("CustomerID").alias("total_customers"),
-        F.sum(units("Revenue")).alias("amount"),
-        F.sum(F.when(F.col("CustomerID").isNotNull(), units("Revenue"))).alias("known_amount"),
+        grand_total(units("Revenue")).alias("amount"),
+        grand_total(F.when(F.col("CustomerID").isNotNull(), units("Revenue"))).alias("known_amount"),
         F.min("InvoiceDate").alias("date_range_start"),
         F.max("InvoiceDate").alias("date_range_end"),
         F.count_distinct("StockCode").alias("total_products"),
@@ -119,7 +120,7 @@ def revenue_profile(clean: DataFrame) -> DataFrame:
     values = stage(order_values(clean), "order_values")
     per_order = values.agg(
         F.count("*").alias("total_transactions"),
-        (from_units(F.sum("amount")) / F.count("*")).alias("avg_order_value"),
+        (from_units(grand_total("amount")) / F.count("*")).alias("avg_order_value"),
         F.avg("quantity").alias("avg_items_per_order"),
     )
     median = quantiles(values.select(from_units("amount").alias("value")), [0.5])
@@ -148,19 +149,19 @@ def monthly_revenue(clean: DataFrame) -> DataFrame:
     by_month = (
         clean.where(F.col("InvoiceDate").isNotNull())
         .groupBy(month_start("InvoiceDate").alias("month"))
-        .agg(F.sum(units("Revenue")).alias("amount"))
+        .agg(grand_total(units("Revenue")).alias("amount"))
+    )
+    spine = by_month.agg(
+        F.sequence(F.min("month"), F.max("month"), F.expr("interval 1 month")).alias("spine")
+    ).select(F.explode("spine").alias("month"))
+    return (
+        spine.join(by_month, "month", "left")
+        .select(
+            F.last_day("month").alias("month"),
+            from_units(F.coalesce("amount", F.lit(0))).alias("revenue"),
+        )
+        .orderBy("month")
     )
-    # One row from a few hundred months; the gaps are filled without a second scan.
-    filled = by_month.agg(
-        F.sequence(F.min("month"), F.max("month"), F.expr("interval 1 month")).alias("spine"),
-        F.map_from_entries(F.collect_list(F.struct("month", "amount"))).alias("amounts"),
-    ).select(F.explode("spine").alias("start"), "amounts")
-    return filled.select(
-        F.last_day("start").alias("month"),
-        from_units(F.coalesce(F.try_element_at("amounts", F.col("start")), F.lit(0))).alias(
-            "revenue"
-        ),
-    ).orderBy("month")
 
 
 def orders_per_customer(clean: DataFrame) -> DataFrame:
@@ -181,7 +182,7 @@ def weekday_revenue(clean: DataFrame) -> DataFrame:
             F.weekday("InvoiceDate").alias("day_index"),
             F.date_format("InvoiceDate", "EEEE").alias("day_of_week"),
         )
-        .agg(F.sum(units("Revenue")).alias("amount"))
+        .agg(grand_total(units("Revenue")).alias("amount"))
         .orderBy("day_index")
         .select("day_of_week", from_units("amount").alias("revenue"))
     )

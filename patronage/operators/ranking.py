@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 SKETCH_ACCURACY = 20_000
 BRACKET_MARGIN = 2 / SKETCH_ACCURACY
-BUCKETS = 128
+
 
 # (rough probability, exact 1-based rank as a function of the row count)
 Target = tuple[float, Callable[[Column], Column]]
@@ -139,12 +139,17 @@ def exact_quantiles(
         [], list(columns), "metric", "value"
     )
     rows = quantiles(long, probabilities, ["metric"], few_values).collect()
-    return {r["metric"]: [r[f"q{i}"] for i in range(len(probabilities))] for r in rows}
+    found = {r["metric"]: [r[f"q{i}"] for i in range(len(probabilities))] for r in rows}
+    return {c: found.get(c, [None] * len(probabilities)) for c in columns}
 
 
 def _cut_points(df: DataFrame, columns: Sequence[str]) -> list[list[float]]:
-    grid = [i / BUCKETS for i in range(1, BUCKETS)]
-    return df.approxQuantile(list(columns), grid, 1 / (4 * BUCKETS))
+    """Cuts into as many ranges as the cluster has shuffle partitions, by one sketch
+    with a partial step."""
+    ranges = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    grid = [i / ranges for i in range(1, ranges)]
+    row = df.agg(*[F.percentile_approx(c, grid, 4 * ranges).alias(c) for c in columns]).first()
+    return [list(row[c] or ()) for c in columns]
 
 
 def _bucketed(df: DataFrame, column: str, cuts: Sequence[float], out: str) -> DataFrame:
@@ -173,8 +178,8 @@ def running_totals(
 
     Rows go to value ranges; each range is ordered by its own task and shifted by the
     size of the ranges before it. A value that fills more than one range (most
-    customers share one frequency, say) is cut again by ranges of ``tie``, so no range
-    exceeds about 1/128 of the rows. ``df`` is read three times: stage it first.
+    customers share one frequency, say) is cut again by ranges of ``tie``, so a range
+    holds about as much as any shuffle partition. ``df`` is read three times: stage it first.
     """
     sums, totals = dict(sums or {}), dict(totals or {})
     key = F.col(order).cast("double")
@@ -193,7 +198,8 @@ def running_totals(
     else:
         keyed = keyed.withColumn("_part", F.lit(0.0))
 
-    # One row per range, at most a few thousand whatever the input size.
+    # One row per pair of ranges: at most a constant times the shuffle partitions for
+    # each repeated value.
     sources = sorted({*sums.values(), *totals.values()})
     sizes = keyed.groupBy("_range", "_part").agg(
         F.count("*").alias("_rows"), *[F.sum(s).alias(f"_sum_{s}") for s in sources]

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from patronage.functions.columns import (
     elapsed_days,
+    fine,
     from_units,
+    grand_total,
     round_even,
     timestamp_literal,
     units,
@@ -193,7 +195,7 @@ def segment_summary(segmented: DataFrame) -> DataFrame:
         F.count("*").alias("customer_count"),
         F.avg("Recency").alias("avg_recency"),
         F.avg("Frequency").alias("avg_frequency"),
-        F.sum(units("Monetary")).alias("amount"),
+        grand_total(units("Monetary")).alias("amount"),
     )
     medians = quantiles(
         customers.select("Segment", F.col("Monetary").alias("value")), [0.5], ["Segment"]
@@ -251,13 +253,13 @@ def validate_h1(segmented: DataFrame) -> DataFrame:
     top = F.col("RFM_Agg_Score") >= cut
     counted = customers.agg(
         F.count("*").alias("customers"),
-        F.sum(units("Monetary")).alias("amount"),
-        F.sum(F.when(top, units("Monetary"))).alias("top_amount"),
+        grand_total(units("Monetary")).alias("amount"),
+        grand_total(F.when(top, units("Monetary"))).alias("top_amount"),
         F.count_if(top).alias("top_customers"),
         F.count_if(F.col("Segment") == "At Risk").alias("at_risk"),
     )
-    revenue_share = from_units("top_amount") / from_units("amount") * 100
-    risk_share = F.col("at_risk") / F.col("customers") * 100
+    revenue_share = F.try_divide(from_units("top_amount"), from_units("amount")) * 100
+    risk_share = F.try_divide("at_risk", "customers") * 100
     return counted.select(
         F.lit("H1: Top 20% by RFM score contribute >60% of total revenue").alias("hypothesis"),
         round_even(revenue_share).alias("top_20_revenue_pct"),
@@ -271,9 +273,12 @@ def validate_h1(segmented: DataFrame) -> DataFrame:
 
 def concentration(df: DataFrame, value: str = "Monetary") -> DataFrame:
     """Customers from the largest value down, with running shares of customers and of
-    the total. Ties go by CustomerID."""
+    the total. Ties go by CustomerID; customers without a value are left out."""
     customers = stage(
-        df.select("CustomerID", value).withColumn("_amount", units(value)), "concentration"
+        df.where(F.col(value).isNotNull())
+        .select("CustomerID", value)
+        .withColumn("_amount", fine(value)),
+        "concentration",
     )
     ranked = running_totals(
         customers,
@@ -288,7 +293,9 @@ def concentration(df: DataFrame, value: str = "Monetary") -> DataFrame:
     return ranked.select(
         "CustomerID",
         value,
-        (F.try_divide(from_units("_running"), from_units("_total")) * 100).alias(
+        (
+            F.try_divide(F.col("_running").cast("double"), F.col("_total").cast("double")) * 100
+        ).alias(
             "cum_revenue_pct"
         ),
         (F.col("_rank") / F.col("_count") * 100).alias("cum_customer_pct"),

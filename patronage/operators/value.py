@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from patronage.functions.columns import (
     elapsed_days,
+    fine_sum,
     from_units,
     mean_gap_days,
     round_even,
@@ -169,14 +170,18 @@ def clv_features(
 
 
 def assign_tiers(df: DataFrame, column: str = "predicted_clv") -> tuple[DataFrame, DataFrame]:
-    """Rows with ``CLV_Tier``, and the tier boundaries as a four-row table."""
+    """Rows with ``CLV_Tier``, and the tier boundaries as a four-row table, whose bounds
+    are null when no row has a value."""
     df = stage(df, "tiers")
     edges = exact_quantiles(df, [column], TIER_QUANTILES)[column]
+    low, middle, high = (None if e is None else f"£{e:.2f}" for e in edges)
+    empty = low is None
+    # Tier names and the wording of their boundaries.
     bounds = [
-        ("Platinum", edges[2], None, f"> £{edges[2]:.2f}"),
-        ("Gold", edges[1], edges[2], f"£{edges[1]:.2f} – £{edges[2]:.2f}"),
-        ("Silver", edges[0], edges[1], f"£{edges[0]:.2f} – £{edges[1]:.2f}"),
-        ("Bronze", None, edges[0], f"< £{edges[0]:.2f}"),
+        ("Platinum", edges[2], None, None if empty else f"> {high}"),
+        ("Gold", edges[1], edges[2], None if empty else f"{middle} – {high}"),
+        ("Silver", edges[0], edges[1], None if empty else f"{low} – {middle}"),
+        ("Bronze", None, edges[0], None if empty else f"< {low}"),
     ]
     table = df.sparkSession.createDataFrame(
         bounds, "CLV_Tier string, lower_bound double, upper_bound double, label string"
@@ -193,9 +198,9 @@ def validate_h2(
     counted = values.agg(
         F.count("*").alias("customers"),
         F.count_if(F.col("value") < cost).alias("unprofitable"),
-        (from_units(F.sum(units("value"))) / F.count("value")).alias("mean"),
+        F.try_divide(fine_sum("value"), F.count("value")).alias("mean"),
     )
-    share = F.col("unprofitable") / F.col("customers") * 100
+    share = F.try_divide("unprofitable", "customers") * 100
     return counted.crossJoin(F.broadcast(quantiles(values, [0.5]))).select(
         F.lit(
             "H2: At current CAC, ≥30% of customers are unprofitable over 6-month horizon"
@@ -221,8 +226,8 @@ def budget_by_tier(
     )
     grouped = tiers.groupBy("CLV_Tier").agg(
         F.count("*").alias("customer_count"),
-        (from_units(F.sum(units("value"))) / F.count("value")).alias("avg_clv"),
-        from_units(F.sum(units("value"))).alias("total_clv"),
+        F.try_divide(fine_sum("value"), F.count("value")).alias("avg_clv"),
+        fine_sum("value").alias("total_clv"),
     )
     medians = quantiles(tiers, [0.5], ["CLV_Tier"]).select(
         "CLV_Tier", F.col("q0").alias("median_clv")

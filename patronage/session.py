@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,17 +25,11 @@ def build_session(app: str = "patronage", master: str | None = None, **conf) ->
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Folder for staged tables and model checkpoints.
-
-    The cluster names it in ``spark.checkpoint.dir``. Only a local master may go
-    without; it then gets a temporary folder of its own.
-    """
+    """Folder for staged tables and model checkpoints, named in ``spark.checkpoint.dir``."""
     context = spark.sparkContext
     folder = spark.conf.get(CHECKPOINT_KEY, None) or context.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
-            raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="patronage-")
+        raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return f"{folder.rstrip('/')}/patronage-{context.applicationId}"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.utils import AnalysisException
 
@@ -12,19 +13,33 @@ from patronage.sources.schema import ALIASES, RAW_FIELDS, table_schema
 ENCODING = "ISO-8859-1"
 
 
-def _csv_schema(spark: SparkSession, path: str) -> str:
+def _csv_groups(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """The files of a path by their header line; only names are listed here."""
+    listed = spark.read.format("binaryFile").load(path).select("path").collect()
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file in sorted(row["path"] for row in listed):
+        header = spark.read.option("header", True).option("encoding", ENCODING).csv(file).columns
+        groups.setdefault(tuple(header), []).append(file)
+    return groups
+
+
+def _csv_schema(header: Sequence[str]) -> str:
     """Names from the header line, types from the declaration; nothing is inferred."""
-    header = spark.read.option("header", True).option("encoding", ENCODING).csv(path).columns
     return ", ".join(
         f"`{name}` {RAW_FIELDS.get(ALIASES.get(name, name), 'string')}" for name in header
     )
 
 
-def _read_part(spark: SparkSession, path: str, suffix: str) -> DataFrame:
+def _read_part(spark: SparkSession, path: str, suffix: str) -> list[DataFrame]:
     if suffix == "parquet":
-        return spark.read.parquet(path)
+        return [spark.read.parquet(path)]
+    # A file that does not match its header raises instead of shifting columns.
     reader = spark.read.option("header", True).option("encoding", ENCODING)
-    return reader.schema(_csv_schema(spark, path)).csv(path)
+    reader = reader.option("enforceSchema", False)
+    return [
+        reader.schema(_csv_schema(header)).csv(files)
+        for header, files in _csv_groups(spark, path).items()
+    ]
 
 
 def load_raw(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -35,8 +50,9 @@ def load_raw(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
         suffix = path.rstrip("/").rsplit(".", 1)[-1].lower()
         if suffix not in ("csv", "parquet"):
             raise ValueError(f"Unsupported file format: {path}")
-        part = _read_part(spark, path, suffix).withColumnsRenamed(ALIASES)
-        raw = part if raw is None else raw.unionByName(part, allowMissingColumns=True)
+        for part in _read_part(spark, path, suffix):
+            part = part.withColumnsRenamed(ALIASES)
+            raw = part if raw is None else raw.unionByName(part, allowMissingColumns=True)
     if raw is None:
         raise ValueError("no input path")
     return raw
@@ -90,3 +106,7 @@ def save_model(model, root: str, name: str) -> str:
     path = f"{root.rstrip('/')}/{name}"
     model.write().overwrite().save(path)
     return path
+
+
+def load_model(root: str, name: str) -> PipelineModel:
+    return PipelineModel.load(f"{root.rstrip('/')}/{name}")

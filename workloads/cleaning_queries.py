@@ -41,7 +41,8 @@ marked AS (SELECT *, CustomerID IS NOT NULL AS known, InvoiceNo LIKE 'C%' AS can
 """,
         f"""
 steps AS (
-  SELECT COUNT(*) AS raw_rows,
+  SELECT COUNT(*) AS raw_rows, COUNT(*) FILTER (InvoiceNo IS NULL) AS null_invoice_rows,
+    COUNT(*) FILTER (InvoiceDate IS NULL) AS undated_rows,
     COUNT(*) FILTER (NOT known) AS null_customer_ids_dropped,
     COUNT(*) FILTER (known AND cancelled) AS cancellation_rows,
     COUNT(*) FILTER (known AND NOT cancelled AND Quantity <= 0) AS negative_quantity_removed,
