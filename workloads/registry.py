@@ -26,7 +26,13 @@ def query(sql: str | None = None, name: str | None = None) -> Callable[[Query],
     return register
 
 
-MODULES = ("cleaning_queries", "segment_queries")
+MODULES = (
+    "cleaning_queries",
+    "segment_queries",
+    "value_queries",
+    "churn_queries",
+    "master_queries",
+)
 
 
 def _load() -> None:
