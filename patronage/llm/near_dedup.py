@@ -6,8 +6,8 @@ before what the slot holds, and a shingle stops once its next arrival is later t
 latest slot. Two documents agree in a slot with their probability Jaccard similarity.
 
 Documents of equal shingle counts are one vertex from the start, so copies never meet
-in a bucket. Within a bucket each vertex is compared with two centres, never all with
-all; further rounds take new centres where a bucket still holds several components.
+in a bucket. Within a bucket each vertex is compared with a few centres, never all with
+all; further rounds take new centres where a bucket still holds several classes.
 """
 
 from __future__ import annotations
@@ -22,8 +22,12 @@ from patronage.llm.shingles import SHINGLE, block_shingles
 from patronage.llm.text import Words, blocks, mix
 from patronage.session import stage
 
-BANDS = 30
-ROWS = 5  # slots per band: a pair at 0.8 is missed by all bands once in 150,000 times
+BANDS = 20
+ROWS = 4  # slots per band: a pair at 0.8 is missed by all bands once in 38,000 times
+# Buckets (one in so many) and centres per bucket of each round; the last goes on until
+# a round finds nothing. Early rounds join most copies at little cost, so that the later
+# ones, over all buckets, only compare what is still apart.
+ROUNDS = ((8, 1), (1, 2), (1, 16))
 SIMILARITY = 0.8
 _GOLDEN = 0x9E3779B97F4A7C15
 
@@ -145,39 +149,37 @@ def _row_key(doc_id: str, text: str):
     )
 
 
-def _centres(members: DataFrame, salt: int) -> DataFrame:
-    """Two members of every bucket, by orders that differ from bucket to bucket."""
-    shift = F.xxhash64("bucket", F.lit(salt))
-    first, second = F.col("h1").bitwiseXOR(shift), F.col("h2").bitwiseXOR(shift)
-    chosen = members.groupBy("bucket").agg(
-        *[F.min_by(c, first).alias(f"{c}_0") for c in ("h1", "h2")],
-        *[F.min_by(c, second).alias(f"{c}_1") for c in ("h1", "h2")],
-        F.count("*").alias("size"),
-    )
-    return chosen.where("size > 1").drop("size")
-
+def _pairs(members: DataFrame, centres: int, salt: int) -> DataFrame:
+    """(a1, a2, b1, b2): every member of a bucket with some centres of the bucket, if
+    their labels differ; each pair once. ``members`` has bucket, h1, h2, label.
 
-def _candidates(members: DataFrame, centres: DataFrame) -> DataFrame:
-    """(member, centre) pairs, each pair once."""
+    Centres are the least members by orders that change with the bucket and the salt. The
+    partial aggregate leaves one row per bucket and task, whatever the bucket's size.
+    """
+    chosen, names = [F.min("label").alias("low"), F.max("label").alias("high")], []
+    for k in range(centres):
+        order = F.col("h1").bitwiseXOR(F.xxhash64("bucket", F.lit(salt), F.lit(k)))
+        names.append([f"{c}_{k}" for c in ("h1", "h2", "label")])
+        chosen += [F.min_by(c, order).alias(n) for c, n in zip(("h1", "h2", "label"), names[-1])]
+    open_buckets = members.groupBy("bucket").agg(*chosen).where("low < high").drop("low", "high")
     centre = F.explode(
-        F.array(*[F.struct(F.col(f"h1_{k}").alias("g1"), F.col(f"h2_{k}").alias("g2")) for k in (0, 1)])
+        F.array(*[F.struct(*[F.col(n).alias(c) for n, c in zip(own, ("g1", "g2", "other"))]) for own in names])
     )
-    pairs = members.join(centres, "bucket").withColumn("c", centre).select("h1", "h2", "c.g1", "c.g2")
-    turned = (F.col("h1") > F.col("g1")) | ((F.col("h1") == F.col("g1")) & (F.col("h2") > F.col("g2")))
-    return (
-        pairs.where((F.col("h1") != F.col("g1")) | (F.col("h2") != F.col("g2")))
-        .select(
-            F.when(turned, F.col("g1")).otherwise(F.col("h1")).alias("a1"),
-            F.when(turned, F.col("g2")).otherwise(F.col("h2")).alias("a2"),
-            F.when(turned, F.col("h1")).otherwise(F.col("g1")).alias("b1"),
-            F.when(turned, F.col("h2")).otherwise(F.col("g2")).alias("b2"),
-        )
-        .distinct()
+    pairs = (
+        members.join(open_buckets, "bucket")
+        .withColumn("c", centre)
+        .select("h1", "h2", "label", "c.*")
+        .where("label != other")
     )
-
-
-def _vertex(first: str, second: str):
-    return F.concat(F.lpad(F.hex(first), 16, "0"), F.lpad(F.hex(second), 16, "0"))
+    turned = (F.col("h1") > F.col("g1")) | ((F.col("h1") == F.col("g1")) & (F.col("h2") > F.col("g2")))
+    return pairs.select(
+        F.when(turned, F.col("g1")).otherwise(F.col("h1")).alias("a1"),
+        F.when(turned, F.col("g2")).otherwise(F.col("h2")).alias("a2"),
+        F.when(turned, F.col("h1")).otherwise(F.col("g1")).alias("b1"),
+        F.when(turned, F.col("h2")).otherwise(F.col("g2")).alias("b2"),
+        F.least("label", "other").alias("a_label"),
+        F.greatest("label", "other").alias("b_label"),
+    ).distinct()
 
 
 def near_groups(
@@ -206,13 +208,19 @@ def near_groups(
         "signatures",
     )
     signed_ids = signed.select("id", "tie", "h1", "h2", (F.size("buckets") > 0).alias("worded"))
-    members = signed.select(F.explode("buckets").alias("bucket"), "h1", "h2").distinct()
-    centres = stage(_centres(members, 0), "centres")
-    # Only buckets of several vertices go on.
-    members = stage(members.join(centres.select("bucket"), "bucket", "left_semi"), "members")
-    flagged = members.select("h1", "h2").distinct()
+    # Copies have equal buckets: one row per vertex before they are dealt out.
+    members = (
+        signed.groupBy("h1", "h2")
+        .agg(F.first("buckets").alias("buckets"))
+        .select(F.explode("buckets").alias("bucket"), "h1", "h2")
+    )
+    several = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
+    # Only buckets of several vertices go on; at first every vertex is its own class.
+    members = stage(
+        members.join(several, "bucket", "left_semi").withColumn("label", F.col("h1")), "members"
+    )
     holders = (
-        signed_ids.join(flagged, ["h1", "h2"], "left_semi")
+        signed_ids.join(members.select("h1", "h2").distinct(), ["h1", "h2"], "left_semi")
         .groupBy("h1", "h2")
         .agg(F.min(F.struct("id", "tie")).alias("row"))
         .select("h1", "h2", "row.*")
@@ -229,38 +237,37 @@ def near_groups(
         left = texts.select(F.col("h1").alias("a1"), F.col("h2").alias("a2"), F.col("text").alias("left"))
         right = texts.select(F.col("h1").alias("b1"), F.col("h2").alias("b2"), F.col("text").alias("right"))
         joined = pairs.join(left, ["a1", "a2"]).join(right, ["b1", "b2"])
-        return joined.select(
-            _vertex("a1", "a2").alias("a"), _vertex("b1", "b2").alias("b"), "left", "right"
-        ).mapInArrow(_verified(similarity), "a string, b string")
-
-    links = stage(verified(_candidates(members, centres)), "near")
-    labels = components(links)
-    for salt in range(1, 1 << 30):
-        # Buckets that still hold several components: other centres, pairs across only.
-        named = members.withColumn("node", _vertex("h1", "h2")).join(labels, "node", "left")
-        named = named.withColumn("label", F.coalesce("label", "node"))
-        open_buckets = named.groupBy("bucket").agg(
-            F.min("label").alias("low"), F.max("label").alias("high")
+        return joined.select("a_label", "b_label", "left", "right").mapInArrow(
+            _verified(similarity), "a bigint, b bigint"
         )
-        rest = named.join(open_buckets.where("low < high").select("bucket"), "bucket", "left_semi")
-        pairs = _candidates(rest.select("bucket", "h1", "h2"), _centres(rest, salt))
-        for side in ("a", "b"):
-            own = labels.select(F.col("node").alias(side), F.col("label").alias(f"{side}_label"))
-            pairs = pairs.withColumn(side, _vertex(f"{side}1", f"{side}2")).join(own, side, "left")
-        across = pairs.where(
-            F.coalesce("a_label", "a") != F.coalesce("b_label", "b")
-        ).select("a1", "a2", "b1", "b2")
-        more = stage(verified(across), "near")
-        if not more.limit(1).count():
+
+    # Each round compares members with centres of other classes, and joins the classes
+    # that proved near.
+    for salt in range(1 << 30):
+        part, centres = ROUNDS[min(salt, len(ROUNDS) - 1)]
+        own = members.where(F.pmod("bucket", F.lit(part)) == 0) if part > 1 else members
+        links = stage(verified(_pairs(own, centres, salt)), "near")
+        if not links.limit(1).count():
+            if salt < len(ROUNDS) - 1:
+                continue
             break
-        links = links.unionByName(more)
-        labels = components(links)
+        merged = components(links).select(F.col("node").alias("label"), F.col("label").alias("top"))
+        members = stage(
+            members.join(merged, "label", "left").select(
+                "bucket", "h1", "h2", F.coalesce("top", "label").alias("label")
+            ),
+            "members",
+        )
+    # A vertex that was never linked has its own first half as label; the second half
+    # tells it from any other.
+    found = members.select("h1", "h2", "label").distinct()
+    linked = found.groupBy("label").agg(F.count("*").alias("n")).where("n > 1").select("label")
+    found = found.join(linked, "label")
     vertices = (
         signed_ids.groupBy("h1", "h2")
-        .agg(F.count("*").alias("n"), F.max("worded").alias("worded"))
-        .withColumn("node", _vertex("h1", "h2"))
-        .join(labels, "node", "left")
-        .select("h1", "h2", "worded", F.coalesce("label", "node").alias("label"))
+        .agg(F.max("worded").alias("worded"))
+        .join(found, ["h1", "h2"], "left")
+        .select("h1", "h2", "worded", F.coalesce(F.col("label").cast("string"), F.concat_ws(",", "h1", "h2")).alias("label"))
     )
     return _classes(source, signed_ids, vertices)
 
