@@ -25,7 +25,7 @@ from patronage.llm.text import Memo, Words, blocks
 BUCKETS = 1 << 17
 DIMENSION = 10
 WINDOW = 2
-SAMPLE_ROWS = 6000
+SAMPLE_ROWS = 4000
 
 
 def subwords(word: str) -> list[int]:
@@ -79,10 +79,10 @@ class _Training:
             counts.append(words.counts())
         self.words = np.concatenate(numbers or [np.zeros(0, np.int64)])
         self.bounds = np.concatenate([[0], np.cumsum(np.concatenate(counts or [[]]))]).astype(np.int64)
-        parts = [subwords(w) for w in names]
+        parts = [np.array(subwords(w), dtype=np.int32) for w in names]
         self.sizes = np.array([len(p) for p in parts], dtype=np.int64)
         self.first = np.cumsum(self.sizes) - self.sizes
-        self.subwords = np.array([s for p in parts for s in p], dtype=np.int64)
+        self.subwords = np.concatenate(parts or [np.zeros(0, np.int32)])
 
     def word_scores(self, bucket_scores: np.ndarray) -> np.ndarray:
         if not len(self.sizes):
