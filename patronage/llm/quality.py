@@ -22,7 +22,7 @@ from patronage.llm.sampling import joined_sample
 from patronage.llm.text import Block, Memo, blocks, mix, segment_hashes
 
 BITS = 18
-SAMPLE_ROWS = 6000
+SAMPLE_ROWS = 3000
 _SPREAD = [np.uint64(k * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF) for k in range(1, 7)]
 
 
