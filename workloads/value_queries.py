@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from patronage.operators import charts, segments, value
+from patronage.operators import charts, repeat, segments, value
 from patronage.operators.grains import date_span
 from workloads.registry import query
 from workloads.retail import EVENT_RAW_SQL, staged_clean, staged_events, with_clean
@@ -227,3 +227,24 @@ FROM tiered JOIN q USING (CLV_Tier) GROUP BY CLV_Tier, rows, e""")
 def value_boxes_by_tier(spark, sf_dir):
     tiered = fixed_tiers(staged_clean(spark, sf_dir, *RFM_COLUMNS))[0]
     return charts.box_statistics(tiered.withColumnRenamed("predicted_clv", "value"), "CLV_Tier")
+
+
+# ---- probability models
+
+FIXED_PURCHASES = repeat.PurchaseModel(r=0.8, alpha=60.0, a=1.4, b=2.5)
+FIXED_SPEND = repeat.SpendModel(p=6.0, q=4.0, v=15.0)
+REPEAT_CTE = "rep AS (" + REPEAT_SQL + ")"
+
+
+@query(with_clean(SPLIT_CTE, REPEAT_CTE) + """
+SELECT CustomerID, CASE WHEN frequency > 0 THEN 1 / (1 + 1.4::DOUBLE / (2.5::DOUBLE + frequency - 1)
+    * POW((60.0::DOUBLE + T) / (60.0::DOUBLE + recency), 0.8::DOUBLE + frequency)) ELSE 1 END AS prob_alive,
+  CASE WHEN frequency > 0 AND monetary_value > 0 THEN
+    6.0::DOUBLE * frequency / (6.0::DOUBLE * frequency + 3.0::DOUBLE) * monetary_value
+    + (1 - 6.0::DOUBLE * frequency / (6.0::DOUBLE * frequency + 3.0::DOUBLE)) * 30.0::DOUBLE
+  ELSE (SELECT AVG(monetary_value) FROM rep WHERE frequency > 0 AND monetary_value > 0) END AS expected_avg_profit
+FROM rep""")
+def value_model_fixed(spark, sf_dir):
+    summary = _repeat(staged_clean(spark, sf_dir, "CustomerID", "InvoiceNo", "InvoiceDate", "Revenue"))
+    scored = repeat.predict_value(summary, FIXED_PURCHASES, FIXED_SPEND)
+    return scored.select("CustomerID", "prob_alive", "expected_avg_profit")
