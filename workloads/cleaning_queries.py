@@ -13,6 +13,7 @@ from workloads.retail import (
     ONE_COUNTRY,
     PARAMS,
     RAW_SQL,
+    RFM_COLUMNS,
     clean_lines,
     event_lines,
     raw_lines,
@@ -155,7 +156,7 @@ GROUP BY CustomerID, ref"""
 
 @query(with_clean() + CUSTOMER_TABLE_SQL)
 def customer_table(spark, sf_dir):
-    return profile.customer_table(staged_clean(spark, sf_dir))
+    return profile.customer_table(staged_clean(spark, sf_dir, *RFM_COLUMNS, "StockCode"))
 
 
 @query(with_clean(source=EVENT_RAW_SQL) + CUSTOMER_TABLE_SQL)

@@ -13,6 +13,9 @@ from patronage.session import stage
 PARAMS = Params(country=None, max_quantity=48, max_unit_price=10_000)
 ONE_COUNTRY = Params(country="NATION_3", max_quantity=48, max_unit_price=10_000)
 
+# What scores and values read of the clean lines.
+RFM_COLUMNS = ("CustomerID", "InvoiceNo", "InvoiceDate", "Quantity", "Revenue")
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -9,6 +9,7 @@ from patronage.operators.profile import orders_per_customer
 from workloads.registry import query
 from workloads.retail import (
     EVENT_RAW_SQL,
+    RFM_COLUMNS,
     clean_lines,
     staged_clean,
     staged_events,
@@ -56,7 +57,7 @@ MONEY = "SUM(CAST(ROUND_EVEN({0} * 10000, 0) AS BIGINT))::DOUBLE / 10000"
 
 @query(with_clean(RFM_CTE) + "SELECT * FROM rfm")
 def rfm_values(spark, sf_dir):
-    return segments.compute_rfm(staged_clean(spark, sf_dir))
+    return segments.compute_rfm(staged_clean(spark, sf_dir, *RFM_COLUMNS))
 
 
 @query(with_clean(RFM_CTE, source=EVENT_RAW_SQL) + "SELECT * FROM rfm")
@@ -66,7 +67,7 @@ def rfm_values_events(spark, sf_dir):
 
 @query(with_clean(RFM_CTE, SCORED_CTE) + "SELECT * FROM segmented")
 def rfm_scored(spark, sf_dir):
-    return segments.segment_customers(staged_clean(spark, sf_dir))
+    return segments.segment_customers(staged_clean(spark, sf_dir, *RFM_COLUMNS))
 
 
 @query(with_clean(RFM_CTE, SCORED_CTE, source=EVENT_RAW_SQL) + "SELECT * FROM segmented")
@@ -93,7 +94,7 @@ summary AS (
 
 @query(with_clean(RFM_CTE, SCORED_CTE, SUMMARY_CTE) + "SELECT * FROM summary")
 def segment_summary(spark, sf_dir):
-    return segments.segment_summary(segments.segment_customers(staged_clean(spark, sf_dir)))
+    return segments.segment_summary(segments.segment_customers(staged_clean(spark, sf_dir, *RFM_COLUMNS)))
 
 
 @query(
@@ -105,7 +106,7 @@ def segment_summary(spark, sf_dir):
 )
 def segment_averages(spark, sf_dir):
     return charts.segment_averages(
-        segments.segment_summary(segments.segment_customers(staged_clean(spark, sf_dir)))
+        segments.segment_summary(segments.segment_customers(staged_clean(spark, sf_dir, *RFM_COLUMNS)))
     )
 
 
@@ -125,7 +126,7 @@ def _campaign_sql() -> str:
 FROM segmented JOIN campaign USING (Segment)"""
 )
 def customer_campaigns(spark, sf_dir):
-    customers = segments.segment_customers(staged_clean(spark, sf_dir))
+    customers = segments.segment_customers(staged_clean(spark, sf_dir, *RFM_COLUMNS))
     return segments.with_campaign(customers.select("CustomerID", "Segment")).withColumn(
         "actions", F.array_join("actions", " | ")
     )
@@ -148,7 +149,7 @@ FROM (
 
 @query(with_clean(RFM_CTE, SCORED_CTE) + H1_SQL)
 def hypothesis_revenue_share(spark, sf_dir):
-    return segments.validate_h1(segments.segment_customers(staged_clean(spark, sf_dir)))
+    return segments.validate_h1(segments.segment_customers(staged_clean(spark, sf_dir, *RFM_COLUMNS)))
 
 
 @query(
@@ -162,7 +163,7 @@ WINDOW w AS (ORDER BY Monetary DESC, CustomerID
              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
 )
 def pareto_analysis(spark, sf_dir):
-    return segments.concentration(segments.compute_rfm(staged_clean(spark, sf_dir)))
+    return segments.concentration(segments.compute_rfm(staged_clean(spark, sf_dir, *RFM_COLUMNS)))
 
 
 @query(
@@ -175,7 +176,7 @@ def pareto_analysis(spark, sf_dir):
 )
 def score_counts(spark, sf_dir):
     return segments.value_counts(
-        segments.segment_customers(staged_clean(spark, sf_dir)),
+        segments.segment_customers(staged_clean(spark, sf_dir, *RFM_COLUMNS)),
         ["R_Score", "F_Score", "M_Score", "Segment"],
     )
 
@@ -197,7 +198,7 @@ def describe_sql(source: str, columns: list[str], digits: int) -> str:
 
 @query(with_clean(RFM_CTE) + describe_sql("rfm", ["Recency", "Frequency", "Monetary"], 2))
 def rfm_describe(spark, sf_dir):
-    rfm = segments.compute_rfm(staged_clean(spark, sf_dir))
+    rfm = segments.compute_rfm(staged_clean(spark, sf_dir, *RFM_COLUMNS))
     return segments.describe(rfm, ["Recency", "Frequency", "Monetary"], digits=2)
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from patronage.operators import charts, repeat, segments, value
 from patronage.operators.grains import date_span
 from workloads.registry import query
-from workloads.retail import EVENT_RAW_SQL, staged_clean, staged_events, with_clean
+from workloads.retail import EVENT_RAW_SQL, RFM_COLUMNS, staged_clean, staged_events, with_clean
 from workloads.segment_queries import RFM_CTE
 
 SPLIT_CTE = """
@@ -115,9 +115,6 @@ def fixed_tiers(clean):
     return value.assign_tiers(fixed_value(clean))
 
 
-RFM_COLUMNS = ("CustomerID", "InvoiceNo", "InvoiceDate", "Quantity", "Revenue")
-
-
 @query(with_clean(RFM_CTE, VALUED_CTE) + "SELECT * FROM tiered")
 def clv_tiers(spark, sf_dir):
     return fixed_tiers(staged_clean(spark, sf_dir, *RFM_COLUMNS))[0]
