@@ -9,6 +9,7 @@ n-grams of their own, which carry over to words never seen.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +35,7 @@ def shape(token: str) -> int:
         kind = "X" if c.isupper() else "x" if c.isalpha() else "9" if c.isdigit() else c
         if out[-2:] != [kind, kind]:
             out.append(kind)
-    data = np.frombuffer("".join(out).encode("utf-8"), dtype=np.uint8)
-    return int(segment_hashes(data, np.array([0]), np.array([len(data)])).view(np.int64)[0])
+    return crc32("".join(out).encode("utf-8"))
 
 
 def shapes(tokens: list[str]) -> np.ndarray:
