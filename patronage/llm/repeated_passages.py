@@ -3,8 +3,9 @@ equal sentences for passages that lie inside otherwise different paragraphs.
 
 A paragraph is a line of at least ``min_words`` words. Its five-word shingles give
 ``BANDS`` buckets; paragraphs that meet in a bucket are compared with two centres of the
-bucket, pairs that reach the similarity become links, and components of links are
-classes. Equal paragraphs are one vertex from the start. Sentences of five words or more
+bucket, then with all others of it that are still in another class (``buckets``). Pairs
+that reach the similarity become links, and components of links are classes. Equal
+paragraphs are one vertex from the start. Sentences of five words or more
 are vertices too, joined only with equal ones: a passage put into a longer paragraph is
 found by the run of its sentences, if their words are ``min_words`` or more in all.
 
@@ -19,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from patronage.llm.buckets import large_links, opened, small_pairs
 from patronage.llm.components import components
 from patronage.llm.near_dedup import _row_key, _stream, similarities
 from patronage.llm.shingles import SHINGLE, counted, shingle_hashes
@@ -131,9 +133,9 @@ UNIT_SCHEMA = (
 )
 
 
-def _pairs(members: DataFrame) -> DataFrame:
-    """(member, centre) pairs of the buckets; the centres are the least and the greatest
-    member by an order of each bucket's own."""
+def _centred(members: DataFrame) -> DataFrame:
+    """``members`` of the buckets of several, with the two centres of their bucket: the
+    least and the greatest member by an order of each bucket's own."""
     order = F.col("h").bitwiseXOR(F.xxhash64("bucket"))
     centres = (
         members.groupBy("bucket")
@@ -141,8 +143,14 @@ def _pairs(members: DataFrame) -> DataFrame:
         .where("low < high")
     )
     shift = F.xxhash64("bucket")
-    both = F.explode(F.array(F.col("low").bitwiseXOR(shift), F.col("high").bitwiseXOR(shift)))
-    pairs = members.join(centres, "bucket").select("h", both.alias("c")).where("h != c")
+    return members.join(centres, "bucket").select(
+        "bucket", "h", F.col("low").bitwiseXOR(shift).alias("low"), F.col("high").bitwiseXOR(shift).alias("high")
+    )
+
+
+def _pairs(centred: DataFrame) -> DataFrame:
+    """(member, centre) pairs, each once."""
+    pairs = centred.select("h", F.explode(F.array("low", "high")).alias("c")).where("h != c")
     return pairs.select(F.least("h", "c").alias("a"), F.greatest("h", "c").alias("b")).distinct()
 
 
@@ -204,8 +212,10 @@ def repeated_passages(
     units = stage(
         source.select("doc", "text").mapInArrow(_units(min_words, bands, rows), UNIT_SCHEMA), "units"
     )
-    members = units.where("line").select(F.explode("buckets").alias("bucket"), "h").distinct()
-    pairs = stage(_pairs(members), "pairs")
+    # Equal paragraphs have equal buckets: one row per vertex before they are dealt out.
+    members = units.where("line").groupBy("h").agg(F.first("buckets").alias("buckets"))
+    centred = stage(_centred(members.select(F.explode("buckets").alias("bucket"), "h")), "members")
+    pairs = stage(_pairs(centred), "pairs")
     holders = units.where("line").join(
         pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct(), "h", "left_semi"
     )
@@ -221,8 +231,24 @@ def repeated_passages(
     )
     left = texts.select(F.col("h").alias("a"), F.col("text").alias("left"))
     right = texts.select(F.col("h").alias("b"), F.col("text").alias("right"))
-    links = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
-    labels = components(stage(links.mapInArrow(_verified(similarity), "a bigint, b bigint"), "links"))
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        both = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
+        return both.mapInArrow(_verified(similarity), "a bigint, b bigint")
+
+    links = stage(verified(pairs), "links")
+    labels = components(links)
+    members = centred.join(labels.withColumnRenamed("node", "h"), "h", "left").select(
+        "bucket", F.col("h").alias("h1"), F.lit(0).alias("h2"), F.coalesce("label", "h").alias("label")
+    )
+    # Every bucket that still holds several classes is compared in full.
+    still = opened(members)
+    rest = small_pairs(still).select(F.least("a1", "b1").alias("a"), F.greatest("a1", "b1").alias("b")).distinct()
+    keyed = texts.select(F.col("h").alias("h1"), F.lit(0).alias("h2"), "text")
+    more = verified(rest.join(pairs, ["a", "b"], "left_anti")).unionByName(
+        large_links(still, keyed, similarity, None)
+    )
+    labels = components(links.unionByName(more))
     spread = (
         units.groupBy("h")
         .agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
