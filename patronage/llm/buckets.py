@@ -125,6 +125,8 @@ def near_labels(own, counts, sizes, label, side, similarity: float, weighted=Non
     use = use[np.argsort(column[use], kind="stable")]
     rows = members[use]
     column = np.cumsum(np.diff(column[use], prepend=column[use[:1]]) > 0) if len(use) else use
+    often = total > sizes
+    weighted = weighted if often.any() else None
     mass = counts[use] / np.maximum(total[rows], 1)
     shared, p, q = (np.zeros((len(left), len(right))) for _ in range(3))
     for at in range(0, int(column[-1]) + 1 if len(column) else 0, _COLUMNS):
@@ -161,7 +163,6 @@ def near_labels(own, counts, sizes, label, side, similarity: float, weighted=Non
     if weighted:
         # Probability Jaccard is at most the mass of either on the other's shingles, and
         # it is plain Jaccard where nothing is repeated.
-        often = total > sizes
         maybe = apart & ~near & (np.minimum(p, q) >= similarity - 1e-4) & (often[left][:, None] | often[right][None, :])
         bag = lambda i: (own[ends[i] : ends[i + 1]], counts[ends[i] : ends[i + 1]])
         for i, j in zip(*np.nonzero(maybe)):

@@ -6,8 +6,9 @@ before what the slot holds, and a shingle stops once its next arrival is later t
 latest slot. Two documents agree in a slot with their probability Jaccard similarity.
 
 Documents of equal shingle counts are one vertex from the start, so copies never meet
-in a bucket. Within a bucket each vertex is compared with a few centres, never all with
-all; further rounds take new centres where a bucket still holds several classes.
+in a bucket. Within a bucket each vertex is compared with a few centres in rounds; what
+is then still apart in a bucket is compared in full (``buckets``), so that every pair that
+meets in a bucket is verified or already joined.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from patronage.llm.buckets import large_links, opened, small_pairs
 from patronage.llm.components import components
 from patronage.llm.shingles import SHINGLE, block_shingles
 from patronage.llm.text import Words, blocks, mix
@@ -24,10 +26,9 @@ from patronage.session import stage
 
 BANDS = 20
 ROWS = 4  # slots per band: a pair at 0.8 is missed by all bands once in 38,000 times
-# Buckets (one in so many) and centres per bucket of each round; the last goes on until
-# a round finds nothing. Early rounds join most copies at little cost, so that the later
-# ones, over all buckets, only compare what is still apart.
-ROUNDS = ((8, 1), (1, 2), (1, 16))
+# Buckets (one in so many) and centres per bucket of each round. They join most copies at
+# little cost, so that the full comparison after them only has what is still apart.
+ROUNDS = ((8, 1), (1, 2))
 SIMILARITY = 0.8
 _GOLDEN = 0x9E3779B97F4A7C15
 
@@ -243,21 +244,23 @@ def near_groups(
 
     # Each round compares members with centres of other classes, and joins the classes
     # that proved near.
-    for salt in range(1 << 30):
-        part, centres = ROUNDS[min(salt, len(ROUNDS) - 1)]
-        own = members.where(F.pmod("bucket", F.lit(part)) == 0) if part > 1 else members
-        links = stage(verified(_pairs(own, centres, salt)), "near")
-        if not links.limit(1).count():
-            if salt < len(ROUNDS) - 1:
-                continue
-            break
+    def joined(members: DataFrame, links: DataFrame) -> DataFrame:
         merged = components(links).select(F.col("node").alias("label"), F.col("label").alias("top"))
-        members = stage(
+        return stage(
             members.join(merged, "label", "left").select(
                 "bucket", "h1", "h2", F.coalesce("top", "label").alias("label")
             ),
             "members",
         )
+
+    for salt, (part, centres) in enumerate(ROUNDS):
+        own = members.where(F.pmod("bucket", F.lit(part)) == 0) if part > 1 else members
+        members = joined(members, stage(verified(_pairs(own, centres, salt)), "near"))
+    still = opened(members)
+    found = verified(small_pairs(still)).unionByName(
+        large_links(still, texts, similarity, lambda a, b: similarities(a, b)[0])
+    )
+    members = joined(members, stage(found, "near"))
     # A vertex that was never linked has its own first half as label; the second half
     # tells it from any other.
     found = members.select("h1", "h2", "label").distinct()

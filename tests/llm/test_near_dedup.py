@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
+from patronage.llm.buckets import near_labels
 from patronage.llm.components import components
 from patronage.llm.near_dedup import near_dedup, near_groups, prob_min_hash, similarities
 from tests.llm.helpers import awkward, empty, words
@@ -141,3 +142,47 @@ def test_components(spark):
     got = components(spark.createDataFrame(links, "a string, b string")).collect()
     assert {r.node: r.label for r in got} == {i: find(i) for i in top}
     assert components(spark.createDataFrame([], "a string, b string")).collect() == []
+
+
+def test_large_star_group_is_one_class(spark):
+    """1,500 forms of one text, near the text but not each other."""
+    pick = random.Random(6)
+    base = [f"s{i}" for i in range(304)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 1500):
+        own = list(base)
+        for k in pick.sample(range(10, 280, 26), 6):  # apart: each changes five shingles
+            own[k + pick.randrange(20)] = f"e{i}x{k}"
+        rows.append((i, " ".join(own)))
+    one, two = bag(rows[0][1]), bag(rows[1][1])
+    assert len(one.keys() & two.keys()) / len(one.keys() | two.keys()) >= 0.8
+    two, three = (bag(t) for _, t in rows[1:3])
+    assert len(two.keys() & three.keys()) / len(two.keys() | three.keys()) < 0.8
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    sizes = Counter(r.class_id for r in near_groups(docs).collect())
+    # A form is missed by all bands once in 38,000 times.
+    assert len(sizes) == 1
+
+
+def test_full_comparison_of_a_block():
+    """Labels that the blocks join are those of all pairs, by either similarity."""
+    rng = np.random.default_rng(4)
+    base = rng.integers(1, 2**63, 60, dtype=np.uint64)
+    bags = []
+    for k in range(50):
+        own = base.copy()
+        own[rng.choice(60, 5, replace=False)] = rng.integers(1, 2**63, 5, dtype=np.uint64)
+        counts = np.ones(60, dtype=np.int64)
+        counts[:6] = 1 + 30 * (k % 2)
+        bags.append((own, counts))
+    side = np.array([1] * 25 + [2] * 25)
+    own, counts = (np.concatenate(x) for x in zip(*bags))
+    links = near_labels(own, counts, np.full(50, 60), np.arange(50), side, 0.8, lambda a, b: similarities(a, b)[0])
+    assert all(max(similarities(bags[a], bags[b])) >= 0.8 for a, b in links)
+    got, want = list(range(50)), list(range(50))
+    pairs = [(a, b) for a in range(25) for b in range(25, 50) if max(similarities(bags[a], bags[b])) >= 0.8]
+    for top, found in ((got, links), (want, pairs)):
+        for a, b in found:
+            a, b = top[a], top[b]
+            top[:] = [min(a, b) if t in (a, b) else t for t in top]
+    assert got == want and len(set(want)) < 50
