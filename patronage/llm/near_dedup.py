@@ -4,6 +4,8 @@ A document is the multiset of its five-word shingles. Every shingle emits arriva
 Poisson process whose rate is its count; an arrival claims a random slot if it comes
 before what the slot holds, and a shingle stops once its next arrival is later than the
 latest slot. Two documents agree in a slot with their probability Jaccard similarity.
+Documents that repeat shingles also get the bands of their shingles counted once, where
+the agreement is plain Jaccard; for others both are the same.
 
 Documents of equal shingle counts are one vertex from the start, so copies never meet
 in a bucket. Within a bucket each vertex is compared with a few centres in rounds; what
@@ -21,7 +23,7 @@ from pyspark.sql import functions as F
 from patronage.llm.buckets import large_links, opened, small_pairs
 from patronage.llm.components import components
 from patronage.llm.shingles import SHINGLE, block_shingles
-from patronage.llm.text import Words, blocks, mix
+from patronage.llm.text import Words, blocks, mix, ragged
 from patronage.session import stage
 
 BANDS = 20
@@ -84,6 +86,15 @@ def similarities(a, b) -> tuple[float, float]:
     return float(total), plain
 
 
+def _buckets(owner: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """One hash per band of every document's slots."""
+    owner = owner.reshape(len(owner), bands, rows)
+    bucket = np.broadcast_to(np.arange(1, bands + 1, dtype=np.uint64), owner.shape[:2])
+    for k in range(rows):
+        bucket = mix(bucket * _stream(1) + owner[:, :, k])
+    return bucket
+
+
 def _signatures(bands: int, rows: int):
     def run(batches):
         for batch in batches:
@@ -96,14 +107,27 @@ def _signatures(bands: int, rows: int):
                     mixed = mix(own + _stream(k + 3)) * mix(weight + np.uint64(17 * k))
                     total = np.concatenate([[np.uint64(0)], np.cumsum(mix(mixed), dtype=np.uint64)])
                     name.append(total[bounds[1:]] - total[bounds[:-1]])
-                owner = prob_min_hash(own, counts.astype(np.float64), bounds, bands * rows)
-                owner = owner.reshape(len(block), bands, rows)
-                bucket = np.broadcast_to(np.arange(1, bands + 1, dtype=np.uint64), owner.shape[:2])
-                for k in range(rows):
-                    bucket = mix(bucket * _stream(1) + owner[:, :, k])
                 full = np.diff(bounds) > 0
-                bucket_rows.append(bucket[full].ravel())
-                bucket_ends.append(full * bands)
+                often = np.add.reduceat(counts > 1, bounds[:-1][full]) > 0 if full.any() else full[:0]
+                owner = prob_min_hash(own, counts.astype(np.float64), bounds, bands * rows)
+                weighted = _buckets(owner, bands, rows)[full]
+                # Only documents with repeats are signed again, with every count at one.
+                twice = np.flatnonzero(full)[often]
+                sizes = np.diff(bounds)[twice]
+                again = np.concatenate([[0], np.cumsum(sizes)])
+                part = own[ragged(bounds[:-1][twice], sizes)] if len(twice) else own[:0]
+                plain = _buckets(prob_min_hash(part, np.ones(len(part)), again, bands * rows), bands, rows)
+                # Rows of a document: its weighted bands, then those of its plain ones
+                # that differ, so no document is in a bucket twice.
+                held = np.ones((len(weighted), 2, bands), dtype=bool)
+                held[:, 1] = False
+                both = np.stack([weighted, weighted], axis=1)
+                both[often, 1] = plain
+                held[often, 1] = plain != weighted[often]
+                bucket_rows.append(both[held])
+                size = np.zeros(len(block), dtype=np.int64)
+                size[full] = held.sum(axis=(1, 2))
+                bucket_ends.append(size)
             flat = np.concatenate(bucket_rows or [np.zeros(0, np.uint64)]).view(np.int64)
             ends = np.concatenate([[0], np.cumsum(np.concatenate(bucket_ends or [[]]))])
             code = [np.concatenate(n or [np.zeros(0, np.uint64)]).view(np.int64) for n in names]

@@ -4,11 +4,12 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from patronage.llm.buckets import near_labels
 from patronage.llm.components import components
-from patronage.llm.near_dedup import near_dedup, near_groups, prob_min_hash, similarities
+from patronage.llm.near_dedup import BANDS, ROWS, _signatures, near_dedup, near_groups, prob_min_hash, similarities
 from tests.llm.helpers import awkward, empty, words
 
 
@@ -186,3 +187,23 @@ def test_full_comparison_of_a_block():
             a, b = top[a], top[b]
             top[:] = [min(a, b) if t in (a, b) else t for t in top]
     assert got == want and len(set(want)) < 50
+
+
+def test_repeated_lines_keep_a_plain_candidate():
+    """Equal shingles but for a passage repeated in one copy: plain Jaccard is high,
+    probability Jaccard low. Almost all pairs must still share a bucket."""
+    pick = random.Random(3)
+    texts, pairs = [], 200
+    for k in range(pairs):
+        line = [f"l{k}x{pick.randrange(10**6)}" for _ in range(30)]
+        rest = [f"r{k}x{i}" for i in range(270)]
+        texts += [" ".join(rest + line), " ".join(rest + line * 21)]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([str(i) for i in range(len(texts))]), pa.array(range(len(texts))), pa.array(texts)],
+        names=["id", "tie", "text"],
+    )
+    one, two = bag(texts[0]), bag(texts[1])
+    assert near(one, two) and probability_jaccard(one, two) < 0.5
+    buckets = [set(b) for out in _signatures(BANDS, ROWS)([batch]) for b in out.column(4).to_pylist()]
+    assert all(buckets[2 * k] & buckets[2 * k + 1] for k in range(pairs))
+    assert all(len(b) == BANDS for b in buckets[::2])
