@@ -26,8 +26,8 @@ from patronage.llm.shingles import SHINGLE, block_shingles
 from patronage.llm.text import Words, blocks, mix, ragged
 from patronage.session import stage
 
-BANDS = 20
-ROWS = 4  # slots per band: a pair at 0.8 is missed by all bands once in 38,000 times
+BANDS = 24
+ROWS = 4  # slots per band: a pair at 0.8 is missed by all bands once in 300,000 times
 # Buckets (one in so many) and centres per bucket of each round. They join most copies at
 # little cost, so that the full comparison after them only has what is still apart.
 ROUNDS = ((8, 1), (1, 2))
