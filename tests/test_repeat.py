@@ -30,3 +30,25 @@ def test_prediction_is_defined_everywhere(spark):
         assert all(0 < r.prob_alive <= 1 for r in found.values())
         assert found[1].prob_alive == 1
         assert found[1].expected_avg_profit == pytest.approx((5 + 2 + 1) / 3)
+
+
+def test_predictions_over_a_table_against_direct_sums(spark, small):
+    import __spark_entry__ as entry
+
+    r, alpha, a, b = 0.8, 60.0, 1.4, 2.5
+    given = {x.CustomerID: x for x in entry.queries()["repeat_summary"](spark, small).collect()}
+    found = entry.queries()["value_model_predictions"](spark, small).collect()
+    assert found and {x.CustomerID for x in found} == given.keys()
+    days = 6 * 30.44
+    for row in found:
+        x, t_x, age = given[row.CustomerID].frequency, given[row.CustomerID].recency, given[row.CustomerID]["T"]
+        z, total, term = days / (alpha + age + days), 0.0, 1.0
+        for n in range(2000):
+            total += term
+            term *= (r + x + n) * (b + x + n) / ((a + b + x - 1 + n) * (n + 1)) * z
+        rest = 1 - ((alpha + age) / (alpha + age + days)) ** (r + x) * total
+        odds = a / (b + x - 1) * ((alpha + age) / (alpha + t_x)) ** (r + x) if x else 0
+        want = (a + b + x - 1) / (a - 1) * rest / (1 + odds)
+        assert row.expected_purchases == pytest.approx(want, rel=1e-8)
+        assert row.prob_alive == pytest.approx(1 / (1 + odds))
+        assert row.predicted_clv == pytest.approx(max(0, want * row.expected_avg_profit * 0.15), rel=1e-8)

@@ -245,3 +245,11 @@ def value_model_fixed(spark, sf_dir):
     summary = _repeat(staged_clean(spark, sf_dir, "CustomerID", "InvoiceNo", "InvoiceDate", "Revenue"))
     scored = repeat.predict_value(summary, FIXED_PURCHASES, FIXED_SPEND)
     return scored.select("CustomerID", "prob_alive", "expected_avg_profit")
+
+
+@query()
+def value_model_predictions(spark, sf_dir):
+    """All that the models give; the series of the purchases cannot be said in SQL."""
+    summary = _repeat(staged_clean(spark, sf_dir, "CustomerID", "InvoiceNo", "InvoiceDate", "Revenue"))
+    scored = repeat.predict_value(summary, FIXED_PURCHASES, FIXED_SPEND)
+    return scored.select("CustomerID", "expected_purchases", "prob_alive", "expected_avg_profit", "predicted_clv")
