@@ -9,10 +9,11 @@ from __future__ import annotations
 
 import json
 import os
+from itertools import chain
 
 import numpy as np
 
-from patronage.llm.text import Block, ragged, segment_hashes
+from patronage.llm.text import Block, kept, numbers_of, ragged, segment_hashes
 
 # Byte classes for cutting. Bytes of other kinds (0) never stand beside a cut.
 OTHER, SPACE, BLANK, LETTER, DIGIT, MARK, QUOTE = range(7)
@@ -72,8 +73,44 @@ def may_cut(spec: dict) -> bool:
     return bool(byte_level and not steps) or bool(split and steps <= {"NFC", "Replace", "Lowercase"})
 
 
+class _Lists:
+    """Lists of ids by the hash of their chunk."""
+
+    def __init__(self):
+        self.index: dict[int, int] = {}
+        self.pool = np.zeros(1 << 16, dtype=np.uint32)
+        self.used = 0
+        self.at = np.zeros(1 << 12, dtype=np.int64)
+        self.size = np.zeros(1 << 12, dtype=np.int64)
+
+    def add(self, hashes: list[int], ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        first, total = len(self.index), self.used + len(ids)
+        if total > len(self.pool):
+            self.pool = np.concatenate([self.pool[: self.used], np.zeros(2 * total, np.uint32)])
+        if first + len(sizes) > len(self.at):
+            room = np.zeros(2 * (first + len(sizes)), np.int64)
+            self.at = np.concatenate([self.at[:first], room])
+            self.size = np.concatenate([self.size[:first], room])
+        self.pool[self.used : total] = ids
+        self.at[first : first + len(sizes)] = self.used + np.cumsum(sizes) - sizes
+        self.size[first : first + len(sizes)] = sizes
+        self.used = total
+        numbers = np.arange(first, first + len(sizes))
+        self.index.update(zip(hashes, numbers.tolist()))
+        return numbers
+
+    def ids(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if not len(numbers):
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        sizes = self.size[numbers]
+        return self.pool[ragged(self.at[numbers], sizes)], sizes
+
+
 class ChunkEncoder:
-    """Ids of the rows of a block, as the library gives them for whole texts."""
+    """Ids of the rows of a block, as the library gives them for whole texts.
+
+    Chunks seen are kept in two generations of at most ``limit`` / 2 chunks each.
+    """
 
     def __init__(self, tokenizer: str, limit: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -83,15 +120,8 @@ class ChunkEncoder:
         self.library = Tokenizer.from_str(tokenizer)
         self.cuts = may_cut(spec)
         self.special = [t["content"].encode() for t in spec.get("added_tokens", ())]
-        self.limit = limit
-        self._forget()
-
-    def _forget(self) -> None:
-        self.index: dict[int, int] = {}
-        self.pool = np.zeros(1 << 16, dtype=np.uint32)
-        self.used = 0
-        self.at = np.zeros(1 << 12, dtype=np.int64)
-        self.size = np.zeros(1 << 12, dtype=np.int64)
+        self.limit = max(1, limit // 2)
+        self.young, self.old = _Lists(), _Lists()
 
     def _starts(self, block: Block) -> np.ndarray:
         if not self.cuts:
@@ -106,24 +136,10 @@ class ChunkEncoder:
                 at = raw.find(content, int(block.offsets[row + 1]))
         return np.flatnonzero(cut)
 
-    def _learn(self, hashes: list[int], texts: list[str]) -> np.ndarray:
-        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        ids = [np.array(f.ids, dtype=np.uint32) for f in found]
-        sizes = np.array([len(i) for i in ids], dtype=np.int64)
-        first, total = len(self.index), self.used + int(sizes.sum())
-        if total > len(self.pool):
-            self.pool = np.concatenate([self.pool[: self.used], np.zeros(2 * total, np.uint32)])
-        if first + len(ids) > len(self.at):
-            room = np.zeros(2 * (first + len(ids)), np.int64)
-            self.at = np.concatenate([self.at[:first], room])
-            self.size = np.concatenate([self.size[:first], room])
-        self.pool[self.used : total] = np.concatenate(ids)
-        self.at[first : first + len(ids)] = self.used + np.cumsum(sizes) - sizes
-        self.size[first : first + len(ids)] = sizes
-        self.used = total
-        numbers = np.arange(first, first + len(ids))
-        self.index.update(zip(hashes, numbers.tolist()))
-        return numbers
+    def _encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [f.ids for f in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())), sizes
 
     def encode(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the block, and where each row's begin (one more entry than rows)."""
@@ -131,21 +147,30 @@ class ChunkEncoder:
         lengths = np.diff(np.append(starts, len(block.data)))
         hashes = segment_hashes(block.data, starts, lengths)
         unique, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.index) + len(unique) > self.limit or self.used > 50_000_000:
-            self._forget()
-        find, names = self.index.get, unique.tolist()
-        number = np.fromiter((find(h, -1) for h in names), np.int64, len(names))
+        size = len(self.young.index)
+        if size and (size + len(unique) > self.limit or self.young.used > 25_000_000):
+            self.young, self.old = _Lists(), self.young
+        names = unique.tolist()
+        number = numbers_of(self.young.index, names)
         new = np.flatnonzero(number < 0)
+        if len(new) and self.old.index:
+            older = numbers_of(self.old.index, [names[i] for i in new.tolist()])
+            back = new[older >= 0]
+            number[back] = self.young.add([names[i] for i in back.tolist()], *self.old.ids(older[older >= 0]))
+            new = new[older < 0]
         if len(new):
             texts = [block.text(starts[i], starts[i] + lengths[i]) for i in first[new].tolist()]
-            number[new] = self._learn([names[i] for i in new.tolist()], texts)
-        number = number[inverse]
-        sizes = self.size[number] if len(number) else np.zeros(0, np.int64)
-        ids = self.pool[ragged(self.at[number], sizes)] if len(number) else np.zeros(0, np.uint32)
+            number[new] = self.young.add([names[i] for i in new.tolist()], *self._encoded(texts))
+        ids, sizes = self.young.ids(number[inverse])
         ends = np.concatenate([[0], np.cumsum(sizes)])
         return ids, ends[np.searchsorted(starts, block.offsets)]
 
 
+def worker_encoder(tokenizer: str) -> ChunkEncoder:
+    """The encoder of this Python worker: made once, and warm for its later tasks."""
+    return kept("chunks", tokenizer, lambda: ChunkEncoder(tokenizer))
+
+
 def with_end(ids: np.ndarray, bounds: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
     """``end`` appended to every row."""
     grown = bounds + np.arange(len(bounds))

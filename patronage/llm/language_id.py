@@ -8,7 +8,7 @@ one row of log-likelihoods, and a document is the sum over its words.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from zlib import crc32
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -18,20 +18,27 @@ from pyspark.sql import types as T
 
 from patronage.llm.columns import id_remainder
 from patronage.llm.sampling import labelled_sample
-from patronage.llm.text import Memo, Words, blocks, row_sums
+from patronage.llm.text import Memo, Words, blocks, kept, row_sums, segment_hashes
 
 BUCKETS = 1 << 15
 ORDERS = 4
 UNKNOWN = "und"
 
 
-def ngram_buckets(word: str, orders: int = ORDERS, buckets: int = BUCKETS) -> list[int]:
-    marked = f"<{word}>"
-    return [
-        crc32(marked[i : i + n].encode("utf-8")) % buckets
-        for n in range(1, orders + 1)
-        for i in range(len(marked) - n + 1)
-    ]
+def ngram_buckets(words: list[str], orders: int = ORDERS, buckets: int = BUCKETS):
+    """Bucket numbers of the n-grams of all words, and for each the index of its word."""
+    data = np.frombuffer("".join(f"<{word}>" for word in words).encode("utf-8"), dtype=np.uint8)
+    at = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))  # first bytes of characters
+    sizes = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    owner = np.repeat(np.arange(len(words)), sizes)
+    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(owner))  # characters to the end of the word
+    grams, owners = [], []
+    for n in range(1, orders + 1):
+        first = np.flatnonzero(left >= n)
+        hashes = segment_hashes(data, at[first], at[first + n] - at[first])
+        grams.append((hashes % np.uint64(buckets)).astype(np.int64))
+        owners.append(owner[first])
+    return np.concatenate(grams), np.concatenate(owners)
 
 
 @dataclass
@@ -43,9 +50,13 @@ class LanguageModel:
     def word_rows(self, words: list[str]) -> np.ndarray:
         """Per word: log-likelihood by language, then whether it holds a letter."""
         out = np.zeros((len(words), len(self.languages) + 1))
-        for row, word in zip(out, words):
-            row[:-1] = self.log_probability[ngram_buckets(word)].sum(axis=0, dtype=np.float64)
-            row[-1] = any(map(str.isalpha, word))
+        for low in range(0, len(words), 20_000):  # bounds the table of n-grams
+            part = words[low : low + 20_000]
+            grams, owners = ngram_buckets(part)
+            for code in range(len(self.languages)):
+                likelihoods = self.log_probability[grams, code].astype(np.float64)
+                out[low : low + len(part), code] = np.bincount(owners, likelihoods, len(part))
+        out[:, -1] = [any(map(str.isalpha, word)) for word in words]
         return out
 
 
@@ -54,19 +65,15 @@ def fit(texts: list[str], languages: list[str], smoothing: float = 0.5) -> Langu
     number = {name: i for i, name in enumerate(names)}
     counts = np.zeros((BUCKETS, len(names)))
     column = np.array([number[name] for name in languages], dtype=np.int64)
-    cache: dict[str, list[int]] = {}
     for row, block in blocks(pa.array(texts, pa.string())):
         words = Words(block)
         label = column[row + words.rows()]
         for code in range(len(names)):
             own = np.flatnonzero(label == code)
             _, first, times = np.unique(words.hashes[own], return_index=True, return_counts=True)
-            for index, n in zip(own[first].tolist(), times.tolist()):
-                word = words.text(index)
-                grams = cache.get(word)
-                if grams is None:
-                    grams = cache[word] = ngram_buckets(word)
-                np.add.at(counts[:, code], grams, n)
+            if len(first):
+                grams, owners = ngram_buckets([words.text(i) for i in own[first].tolist()])
+                counts[:, code] += np.bincount(grams, times[owners].astype(np.float64), BUCKETS)
     shown = np.bincount(column, minlength=len(names)) if len(names) else np.zeros(0)
     return LanguageModel(
         names,
@@ -84,11 +91,11 @@ def train(
     return fit(sample["text"], sample["label"])
 
 
-def _predict(model):
+def _predict(model, token: str):
     def run(batches):
         learned: LanguageModel = model.value
         n = len(learned.languages)
-        memo = Memo(learned.word_rows, n + 1, np.float64)
+        memo = kept("language", token, lambda: Memo(learned.word_rows, n + 1, np.float64))
         names = np.array([*learned.languages, UNKNOWN], dtype=object)
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index("text"))
@@ -118,7 +125,7 @@ def _predict(model):
 def _predicted(rows: DataFrame, model: LanguageModel) -> DataFrame:
     sent = rows.sparkSession.sparkContext.broadcast(model)
     added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
-    return rows.mapInArrow(_predict(sent), T.StructType([*rows.schema.fields, *added]))
+    return rows.mapInArrow(_predict(sent, uuid4().hex), T.StructType([*rows.schema.fields, *added]))
 
 
 def identify_language(

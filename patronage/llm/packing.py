@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from patronage.llm.chunks import ChunkEncoder, with_end
+from patronage.llm.chunks import with_end, worker_encoder
 from patronage.llm.text import blocks
 from patronage.session import stage
 
@@ -138,7 +138,15 @@ def make_plan(
     classes: int = CLASSES,
     pattern_size: int = PATTERN_SIZE,
 ) -> Plan:
-    """The plan for so many pieces of each length (1 to ``capacity``)."""
+    """The plan for so many pieces of each length (1 to ``capacity``). With few pieces,
+    rounding the patterns may cost more than they gain: then all go by best fit."""
+    plan, plain = _pattern_plan(histogram, capacity, classes, pattern_size), Plan(capacity)
+    for length in sorted(histogram, reverse=True):
+        plain.best_fit(length, histogram[length])
+    return plain if plain.sequences < plan.sequences else plan
+
+
+def _pattern_plan(histogram: dict[int, int], capacity: int, classes: int, pattern_size: int) -> Plan:
     plan = Plan(capacity)
     left = {length: count for length, count in histogram.items() if count}
     width = -(-capacity // classes)
@@ -194,7 +202,7 @@ def _use(plan: Plan, pattern, times: int, members, left: dict[int, int], there:
 
 def _pieces(tokenizer, end: int, capacity: int):
     def run(batches):
-        encoder = ChunkEncoder(tokenizer.value)
+        encoder = worker_encoder(tokenizer.value)
         task = TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, dtype=np.int64)
         for batch in batches:

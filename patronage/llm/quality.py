@@ -20,7 +20,7 @@ from patronage.llm.chunks import cut_points
 from patronage.llm.columns import id_remainder
 from patronage.llm.logistic import calibrate, sigmoid
 from patronage.llm.sampling import joined_sample
-from patronage.llm.text import Block, Memo, blocks, mix, segment_hashes
+from patronage.llm.text import Block, Memo, blocks, kept, mix, segment_hashes
 
 BITS = 18
 SAMPLE_ROWS = 3000
@@ -167,7 +167,7 @@ def fit(texts: list[str], labels: list[int], cost: float = 1.0, epochs: int = 15
 def _score(model):
     def run(batches):
         learned: QualityModel = model.value
-        memo = Memo(shapes, 1, np.int64)
+        memo = kept("shapes", BITS, lambda: Memo(shapes, 1, np.int64))
         for batch in batches:
             found = []
             for _, block in blocks(batch.column(2)):

@@ -23,9 +23,11 @@ LOWER[65:91] += 32
 WORD = np.zeros(256, dtype=bool)
 WORD[48:58] = WORD[65:91] = WORD[97:123] = WORD[128:] = True
 
-# A fixed random value per byte; the hash of a segment is their polynomial in PRIME.
-_BYTE_VALUES = np.random.default_rng(20_240_101).integers(1, _MASK, 256, dtype=np.uint64) | np.uint64(1)
-_PRIME = np.uint64(0x9E3779B97F4A7C15)
+# A fixed random value per byte; the hash of a segment is the sum of these values, each
+# times a random odd number for its place (places that are powers of one base would give
+# equal sums to known pairs of words).
+_BYTE_VALUES = np.random.default_rng(20_240_101).integers(1, _MASK, 256, dtype=np.uint64)
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -37,14 +39,11 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def _powers(n: int) -> np.ndarray:
-    base = np.full(n, _PRIME, dtype=np.uint64)
-    if n:
-        base[0] = 1
-    return np.cumprod(base)
+def _places(n: int) -> np.ndarray:
+    return mix(np.arange(1, n + 1, dtype=np.uint64) * _STEP) | np.uint64(1)
 
 
-_POWERS = _powers(256)
+_PLACES = _places(256)
 
 
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -59,10 +58,10 @@ def segment_hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) ->
     if not len(starts):
         return np.zeros(0, dtype=np.uint64)
     longest = int(lengths.max())
-    powers = _POWERS if longest <= len(_POWERS) else _powers(longest)
+    places = _PLACES if longest <= len(_PLACES) else _places(longest)
     first = np.cumsum(lengths) - lengths
     inside = np.arange(int(first[-1] + lengths[-1])) - np.repeat(first, lengths)
-    values = _BYTE_VALUES[data[inside + np.repeat(starts, lengths)]] * powers[inside]
+    values = _BYTE_VALUES[data[inside + np.repeat(starts, lengths)]] * places[inside]
     return mix(np.add.reduceat(values, first) ^ lengths.astype(np.uint64))
 
 
@@ -136,36 +135,69 @@ class Memo:
     """Rows of numbers by hash, computed once per distinct segment and kept up to a bound.
 
     ``compute`` gets the texts of new segments and returns one row of ``width`` values
-    for each. 64-bit hashes name the segments: with a million of them in one worker the
-    chance of any mix-up is below one in ten million.
+    for each. Two generations are kept: when the young one reaches half of ``limit`` it
+    becomes the old one, and what is still asked for moves over, so that rare segments
+    leave and common ones stay. 64-bit hashes name the segments: with a million of them
+    in one worker the chance of any mix-up is below one in ten million.
     """
 
     def __init__(self, compute: Callable[[list[str]], np.ndarray], width: int, dtype, limit: int = 400_000):
-        self.compute, self.limit = compute, limit
-        self.rows = np.zeros((1024, width), dtype=dtype)
+        self.compute, self.limit = compute, max(1, limit // 2)
+        self.width, self.dtype = width, dtype
+        self._start()
+        self.old_index, self.old_rows = {}, self.rows
+
+    def _start(self) -> None:
         self.index: dict[int, int] = {}
+        self.rows = np.zeros((1024, self.width), dtype=self.dtype)
+
+    def _add(self, hashes: list[int], values: np.ndarray) -> np.ndarray:
+        at = len(self.index)
+        if at + len(hashes) > len(self.rows):
+            grown = np.zeros((2 * (at + len(hashes)), self.width), self.dtype)
+            grown[:at] = self.rows[:at]
+            self.rows = grown
+        self.rows[at : at + len(hashes)] = values
+        numbers = np.arange(at, at + len(hashes))
+        self.index.update(zip(hashes, numbers.tolist()))
+        return numbers
 
     def lookup(self, hashes: np.ndarray, text_of: Callable[[int], str]) -> np.ndarray:
         """The rows of all hashes; ``text_of`` gives the text of an index among them."""
         unique, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.index) + len(unique) > self.limit:
-            self.index.clear()
-        find = self.index.get
-        found = np.fromiter((find(h, -1) for h in unique.tolist()), np.int64, len(unique))
-        new = np.flatnonzero(found < 0)
-        if len(new):
-            values = self.compute([text_of(i) for i in first[new].tolist()])
-            at = len(self.index)
-            if at + len(new) > len(self.rows):
-                grown = np.zeros((2 * (at + len(new)), self.rows.shape[1]), self.rows.dtype)
-                grown[:at] = self.rows[:at]
-                self.rows = grown
-            self.rows[at : at + len(new)] = values
-            found[new] = np.arange(at, at + len(new))
-            self.index.update(zip(unique[new].tolist(), found[new].tolist()))
+        if self.index and len(self.index) + len(unique) > self.limit:
+            self.old_index, self.old_rows = self.index, self.rows
+            self._start()
+        names = unique.tolist()
+        found = numbers_of(self.index, names)
+        lost = np.flatnonzero(found < 0)
+        if len(lost) and self.old_index:
+            older = numbers_of(self.old_index, [names[i] for i in lost.tolist()])
+            back = lost[older >= 0]
+            found[back] = self._add([names[i] for i in back.tolist()], self.old_rows[older[older >= 0]])
+            lost = lost[older < 0]
+        if len(lost):
+            values = self.compute([text_of(i) for i in first[lost].tolist()])
+            found[lost] = self._add([names[i] for i in lost.tolist()], values)
         return self.rows[found[inverse]]
 
 
+def numbers_of(index: dict[int, int], names: list[int]) -> np.ndarray:
+    find = index.get
+    return np.fromiter((find(h, -1) for h in names), np.int64, len(names))
+
+
+_KEPT: dict[str, tuple[object, object]] = {}
+
+
+def kept(kind: str, key: object, make: Callable[[], object]) -> object:
+    """What ``make`` gives, kept in this Python worker for later tasks with the same key;
+    one object of each kind at a time."""
+    if kind not in _KEPT or _KEPT[kind][0] != key:
+        _KEPT[kind] = (key, make())
+    return _KEPT[kind][1]
+
+
 def row_sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Sums of consecutive slices bounds[i]:bounds[i + 1] along the first axis."""
     total = np.zeros((len(values) + 1, *values.shape[1:]), dtype=np.result_type(values.dtype, np.int64))

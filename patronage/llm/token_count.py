@@ -2,7 +2,7 @@
 
 The count is the number of initial symbols less the number of merges; no identifiers
 are made. Piece ranks come from a sentencepiece model. Texts are cut where no merge can
-reach across, and every distinct chunk is merged once per block.
+reach across, and every distinct chunk is merged once in a Python worker.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from patronage.llm.text import Block, Memo, blocks, row_sums, segment_hashes
+from patronage.llm.text import Block, Memo, blocks, kept, row_sums, segment_hashes
 
 SPACE = "▁"  # how the model writes a space
 
@@ -111,10 +111,14 @@ def block_counts(model: PieceModel, memo: Memo, block: Block) -> np.ndarray:
     return row_sums(values, np.searchsorted(starts, led.offsets))
 
 
+def _with_memo(model: bytes, limit: int) -> tuple[PieceModel, Memo]:
+    pieces = PieceModel(model)
+    return pieces, Memo(pieces.counts, 1, np.int64, limit)
+
+
 def _count(model, memo_limit: int):
     def run(batches):
-        pieces = PieceModel(model.value)
-        memo = Memo(pieces.counts, 1, np.int64, memo_limit)
+        pieces, memo = kept("pieces", (model.value, memo_limit), lambda: _with_memo(model.value, memo_limit))
         for batch in batches:
             sizes, counts = [], []
             for _, block in blocks(batch.column(1)):

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from patronage.llm.chunks import ChunkEncoder, with_end
+from patronage.llm.chunks import with_end, worker_encoder
 from patronage.llm.columns import shuffle_partitions
 from patronage.llm.text import blocks
 from patronage.session import scratch_root
@@ -33,7 +33,7 @@ LAYOUT = {
 
 def _encode(tokenizer, end: int):
     def run(batches):
-        encoder = ChunkEncoder(tokenizer.value)
+        encoder = worker_encoder(tokenizer.value)
         start = 0
         for batch in batches:
             sent = 0

@@ -10,6 +10,7 @@ each word comes down to one number when texts are scored.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from uuid import uuid4
 from zlib import crc32
 
 import numpy as np
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from patronage.llm.columns import id_remainder
 from patronage.llm.logistic import calibrate, sigmoid
 from patronage.llm.sampling import joined_sample
-from patronage.llm.text import Memo, Words, blocks
+from patronage.llm.text import Memo, Words, blocks, kept
 
 BUCKETS = 1 << 17
 DIMENSION = 10
@@ -141,10 +142,10 @@ def fit(texts: list[str], labels: list[int], epochs: int = 8, rate: float = 0.5,
     return ToxicityModel(scores, slope, shift)
 
 
-def _score(model):
+def _score(model, token: str):
     def run(batches):
         learned: ToxicityModel = model.value
-        memo = Memo(learned.word_scores, 1, np.float64)
+        memo = kept("toxicity", token, lambda: Memo(learned.word_scores, 1, np.float64))
         for batch in batches:
             found = []
             for _, block in blocks(batch.column(2)):
@@ -183,5 +184,5 @@ def score_toxicity(
         F.col(doc_id).alias("doc_id"), held_out.alias("held_out"), F.col(text).alias("text")
     )
     kind = wanted.schema["doc_id"].dataType.simpleString()
-    scored = wanted.mapInArrow(_score(model), f"doc_id {kind}, held_out boolean, score double")
+    scored = wanted.mapInArrow(_score(model, uuid4().hex), f"doc_id {kind}, held_out boolean, score double")
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

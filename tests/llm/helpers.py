@@ -43,3 +43,9 @@ def words(text):
 
 def remainder(doc_id, modulus):
     return crc32(b"" if doc_id is None else str(doc_id).encode()) % modulus
+
+
+def mirrored(letters="in", size=2048):
+    """Two unequal words whose hashes are equal under any polynomial of 64 bits."""
+    order = [bin(i).count("1") % 2 for i in range(size)]
+    return "".join(letters[i] for i in order), "".join(letters[1 - i] for i in order)

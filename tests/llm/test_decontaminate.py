@@ -9,7 +9,7 @@ from patronage.llm.decontaminate import (
     drop_contaminated,
     remove_contamination,
 )
-from tests.llm.helpers import BASE, awkward, empty, words
+from tests.llm.helpers import BASE, awkward, empty, mirrored, words
 
 
 def brute(docs, items, window=10):
@@ -101,3 +101,10 @@ def test_empty_tables(spark):
 
 def test_automaton_without_items():
     assert ItemAutomaton([], 10).least == 10
+
+
+def test_mirrored_words_are_told_apart(spark):
+    one, other = mirrored()
+    docs = spark.createDataFrame([(1, f"a {other} b"), (2, f"a {one} b")], "doc_id bigint, text string")
+    items = spark.createDataFrame([(7, f"a {one} b")], "item_id bigint, text string")
+    assert [r.contaminated for r in contamination(docs, items).orderBy("doc_id").collect()] == [False, True]

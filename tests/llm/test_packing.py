@@ -9,8 +9,8 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from patronage.llm.packing import make_plan, non_negative_fit, pack_documents, patterns
-from tests.llm.helpers import awkward, empty
+from patronage.llm.packing import Plan, make_plan, non_negative_fit, pack_documents, patterns
+from tests.llm.helpers import awkward, empty, mirrored
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 LIBRARY = Tokenizer.from_file(PATH)
@@ -80,14 +80,26 @@ def filled(plan, histogram, capacity):
     return len(used)
 
 
+def least_sequences(histogram, capacity):
+    """A lower bound by dual feasible functions: a length counts for nothing if it is at
+    most ``e``, for a whole sequence if it exceeds the rest, for its share otherwise."""
+    best = 0
+    for e in range(capacity // 2 + 1):
+        weight = lambda k: capacity if k > capacity - e else 0 if k < e else k
+        best = max(best, -(-sum(weight(k) * v for k, v in histogram.items()) // capacity))
+    return best
+
+
 def test_plans_are_gapless_and_tight():
     pick = random.Random(3)
     for capacity, top, n in ((4096, 1500, 5000), (4096, 4096, 3000), (64, 64, 500), (10, 10, 300), (1, 1, 5)):
         histogram = Counter(pick.randint(1, top) for _ in range(n))
+        plain = Plan(capacity)
+        for length in sorted(histogram, reverse=True):
+            plain.best_fit(length, histogram[length])
         used = filled(make_plan(histogram, capacity), histogram, capacity)
-        ideal = sum(k * v for k, v in histogram.items()) / capacity
-        long = sum(v for k, v in histogram.items() if 2 * k > capacity)
-        assert used <= 1 + 1.04 * max(ideal, long)
+        bound = least_sequences(histogram, capacity)
+        assert bound <= used <= min(plain.sequences, 1 + 1.04 * bound)
 
 
 def test_one_hot_length():
@@ -102,3 +114,8 @@ def test_patterns_and_fit():
     matrix = np.array([[1.0, 0, 2], [0, 1, 1]])
     assert np.allclose(matrix @ non_negative_fit(matrix, np.array([5.0, 2.0])), [5, 2])
     assert non_negative_fit(matrix, np.array([-1.0, 3.0])).min() >= 0
+
+
+def test_mirrored_texts(spark):
+    rows = [(i, t) for i, t in enumerate(mirrored())]
+    check(spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1), slack=2)

@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from patronage.llm.token_count import PieceModel, token_counts
-from tests.llm.helpers import awkward, empty
+from tests.llm.helpers import awkward, empty, mirrored
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
 MODEL = PieceModel(PATH)
@@ -56,3 +56,9 @@ def test_empty_table(spark):
 @pytest.mark.parametrize("text", ["a" * 5000, "▁" * 40, "<0x0A> <s> </s>", "\n\n  \n x"])
 def test_odd_texts(text):
     assert MODEL.count("▁" + text.replace(" ", "▁")) == expected(text)
+
+
+def test_mirrored_words_are_told_apart(spark):
+    rows = [(i, t) for i, t in enumerate(mirrored())]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    check(token_counts(docs, PATH), docs)

@@ -15,7 +15,7 @@ from tokenizers import Tokenizer
 from patronage.llm.chunks import ChunkEncoder
 from patronage.llm.text import blocks
 from patronage.llm.token_files import read_token_files, token_round_trip, write_token_files
-from tests.llm.helpers import awkward, empty
+from tests.llm.helpers import awkward, empty, mirrored
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 NAMES = ("byte_bpe_50k.json", "word_bpe_49k.json")
@@ -104,3 +104,9 @@ def test_memo_can_be_forgotten():
         ids2, _ = small.encode(block)
     assert np.array_equal(ids, ids2)
     assert ids[: bounds[1]].tolist() == LIBRARY[NAMES[0]].encode(texts[0]).ids
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_mirrored_chunks_are_told_apart(name):
+    texts = [*mirrored(), *mirrored("ab", 1024)]
+    assert encoded(name, texts) == [e.ids for e in LIBRARY[name].encode_batch(texts, add_special_tokens=False)]
