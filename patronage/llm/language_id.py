@@ -113,9 +113,9 @@ def _predict(model, token: str):
                     score[lettered] = 1 / odds.sum(axis=1)
                 found += names[best].tolist()
                 scores += score.tolist()
-            kept = [batch.column(i) for i in range(batch.num_columns)]
+            passed = [batch.column(i) for i in range(batch.num_columns)]
             yield pa.RecordBatch.from_arrays(
-                [*kept, pa.array(found, pa.string()), pa.array(scores, pa.float64())],
+                [*passed, pa.array(found, pa.string()), pa.array(scores, pa.float64())],
                 names=[*batch.schema.names, "lang_pred", "score"],
             )
 
