@@ -12,6 +12,7 @@ from patronage.llm.near_dedup import near_groups
 from patronage.llm.packing import pack_documents
 from patronage.llm.quality import score_quality
 from patronage.llm.repeated_passages import repeated_passages
+from patronage.llm.suffix_dedup import suffix_digest
 from patronage.llm.token_count import token_counts
 from patronage.llm.token_files import token_round_trip
 from patronage.llm.toxicity import score_toxicity
@@ -64,6 +65,10 @@ def op10_packing(spark, sf_dir):
     )
 
 
+def op11_suffix_dedup(spark, sf_dir):
+    return suffix_digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_decontamination": op2_decontamination,
@@ -75,6 +80,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_repeated_passages": op9_repeated_passages,
     "op10_packing": op10_packing,
+    "op11_suffix_dedup": op11_suffix_dedup,
 }
 
 ORACLES = {
