@@ -37,7 +37,7 @@ from patronage.llm.text import blocks, mix
 from patronage.session import stage
 
 SPAN = 50
-BUCKET_BYTES = 32 << 20  # bytes of records that one bucket should hold
+BUCKET_BYTES = 20 << 20  # bytes of records that one bucket should hold
 PACK_BYTES = 8 << 20  # bytes of text whose records go out together
 NOBODY = -(1 << 63)  # the place of a missing id in the order of ids
 _FOUND = "owner bigint, name bigint, starts array<bigint>, ends array<bigint>, window binary"
@@ -175,7 +175,7 @@ def repeated_windows(owner: np.ndarray, records: Records, span: int, low: bytes
     order, common, most = _neighbours(right)
     left = records.left.astype(np.int64)
     # A window reaches span - offset bytes right of its anchor; others cannot be equal.
-    live = np.flatnonzero(np.maximum(most, near) + left >= span)
+    live = np.flatnonzero(np.maximum(most, near) + left >= span).astype(np.int32)
     records, owner, near = records.take(live, span), owner[live], near[live]
     right, left = right[live], left[live]
     order, common, most = _neighbours(right)
@@ -199,12 +199,12 @@ def repeated_windows(owner: np.ndarray, records: Records, span: int, low: bytes
         least_owner = np.minimum.reduceat(owner[own], heads)
         least_owner = np.repeat(least_owner, np.diff(np.append(heads, len(own))))
         later = owner[own] > least_owner
-        repeated.append((live[own[later]], np.full(int(later.sum()), offset)))
+        repeated.append((live[own[later]], np.full(int(later.sum()), offset, np.uint8)))
         edge = own[~later & (near[own] >= span - offset)]
-        first.append((live[edge], np.full(len(edge), offset)))
+        first.append((live[edge], np.full(len(edge), offset, np.uint8)))
     both = []
     for pairs in (repeated, first):
-        both.append([np.concatenate([p[i] for p in pairs] or [np.zeros(0, np.int64)]) for i in (0, 1)])
+        both.append([np.concatenate([p[i] for p in pairs] or [np.zeros(0, np.int32)]) for i in (0, 1)])
     return both
 
 

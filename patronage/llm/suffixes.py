@@ -32,13 +32,20 @@ class Records:
     def take(self, index: np.ndarray, span: int) -> Records:
         sizes = self.count.astype(np.int64) + span - 1
         first = np.cumsum(sizes) - sizes
-        data = self.data[ragged(first[index], sizes[index])]
+        data = gathered(self.data, first[index], sizes[index])
         return Records(self.row[index], self.start[index], self.left[index], self.count[index], data)
 
     def __len__(self) -> int:
         return len(self.row)
 
 
+def gathered(data: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The bytes of segments one after another; places are made for some at a time."""
+    step = 20_000
+    parts = [data[ragged(first[i : i + step], sizes[i : i + step])] for i in range(0, len(first), step)]
+    return np.concatenate(parts or [data[:0]])
+
+
 def joined(parts: list[Records]) -> Records:
     names = ("row", "start", "left", "count", "data")
     return Records(*[np.concatenate([getattr(p, n) for p in parts]) for n in names])
