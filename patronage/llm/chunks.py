@@ -13,7 +13,7 @@ from itertools import chain
 
 import numpy as np
 
-from patronage.llm.text import Block, kept, numbers_of, ragged, segment_hashes
+from patronage.llm.text import Block, Index, kept, ragged, segment_hashes
 
 # Byte classes for cutting. Bytes of other kinds (0) never stand beside a cut.
 OTHER, SPACE, BLANK, LETTER, DIGIT, MARK, QUOTE = range(7)
@@ -24,6 +24,7 @@ _KIND[28:32] = OTHER  # separators that some engines take for white space
 _KIND[48:58] = DIGIT
 _KIND[65:91] = _KIND[97:123] = LETTER
 _KIND[39] = QUOTE
+_ASCII_LETTER = _KIND == LETTER
 _KIND[128:] = OTHER
 # May a piece end between the two kinds? Never after a quote, which may begin a suffix.
 _CUT = np.zeros((7, 7), dtype=bool)
@@ -77,27 +78,26 @@ class _Lists:
     """Lists of ids by the hash of their chunk."""
 
     def __init__(self):
-        self.index: dict[int, int] = {}
+        self.index = Index()
         self.pool = np.zeros(1 << 16, dtype=np.uint32)
         self.used = 0
         self.at = np.zeros(1 << 12, dtype=np.int64)
         self.size = np.zeros(1 << 12, dtype=np.int64)
 
-    def add(self, hashes: list[int], ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    def add(self, hashes: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Lists for sorted new hashes, one after another in ``ids``."""
         first, total = len(self.index), self.used + len(ids)
         if total > len(self.pool):
-            self.pool = np.concatenate([self.pool[: self.used], np.zeros(2 * total, np.uint32)])
+            self.pool = np.concatenate([self.pool[: self.used], np.zeros(total, np.uint32)])
         if first + len(sizes) > len(self.at):
-            room = np.zeros(2 * (first + len(sizes)), np.int64)
+            room = np.zeros(first + len(sizes), np.int64)
             self.at = np.concatenate([self.at[:first], room])
             self.size = np.concatenate([self.size[:first], room])
         self.pool[self.used : total] = ids
         self.at[first : first + len(sizes)] = self.used + np.cumsum(sizes) - sizes
         self.size[first : first + len(sizes)] = sizes
         self.used = total
-        numbers = np.arange(first, first + len(sizes))
-        self.index.update(zip(hashes, numbers.tolist()))
-        return numbers
+        return self.index.add(hashes)
 
     def ids(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not len(numbers):
@@ -109,10 +109,15 @@ class _Lists:
 class ChunkEncoder:
     """Ids of the rows of a block, as the library gives them for whole texts.
 
-    Chunks seen are kept in two generations of at most ``limit`` / 2 chunks each.
+    Chunks seen are kept in two generations of at most ``limit`` / 2 chunks and
+    ``POOL`` ids each. New chunks that are a space and ASCII letters go through the
+    library many at a time: a piece ends at each space, and the ids tell where.
     """
 
-    def __init__(self, tokenizer: str, limit: int = 400_000):
+    POOL = 4_000_000
+    JOINED = 2000
+
+    def __init__(self, tokenizer: str, limit: int = 800_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -122,6 +127,15 @@ class ChunkEncoder:
         self.special = [t["content"].encode() for t in spec.get("added_tokens", ())]
         self.limit = max(1, limit // 2)
         self.young, self.old = _Lists(), _Lists()
+        self.ending = self.weight = None
+        suffix = spec.get("model", {}).get("end_of_word_suffix")
+        names = self.library.get_vocab(with_added_tokens=True) if self.cuts else {}
+        if suffix:
+            self.ending = np.zeros(1 + max(names.values(), default=0), dtype=bool)
+            self.ending[[i for name, i in names.items() if name.endswith(suffix)]] = True
+        elif names:  # every character of a byte-level name stands for a byte
+            self.weight = np.zeros(1 + max(names.values()), dtype=np.int64)
+            self.weight[list(names.values())] = [len(name) for name in names]
 
     def _starts(self, block: Block) -> np.ndarray:
         if not self.cuts:
@@ -141,6 +155,35 @@ class ChunkEncoder:
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         return np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())), sizes
 
+    def _plain(self, block: Block, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Which chunks are a space followed by ASCII letters only."""
+        if self.ending is None and self.weight is None:
+            return np.zeros(len(starts), dtype=bool)
+        letter = np.concatenate([[0], np.cumsum(_ASCII_LETTER[block.data])])
+        return (block.data[starts] == 32) & (lengths > 1) & (
+            letter[starts + lengths] - letter[starts] == lengths - 1
+        )
+
+    def _learn(self, block: Block, starts: np.ndarray, lengths: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        plain = self._plain(block, starts, lengths)
+        numbers = np.empty(len(starts), dtype=np.int64)
+        own = np.flatnonzero(plain)
+        if len(own):
+            raw = block.data[ragged(starts[own], lengths[own])].tobytes().decode("ascii")
+            edges = np.concatenate([[0], np.cumsum(lengths[own])])
+            cuts = edges[np.append(np.arange(0, len(own), self.JOINED), len(own))].tolist()
+            ids, _ = self._encoded([raw[a:b] for a, b in zip(cuts, cuts[1:])])
+            if self.ending is not None:
+                ends = np.flatnonzero(self.ending[ids]) + 1
+            else:
+                ends = np.searchsorted(np.cumsum(self.weight[ids]), edges[1:]) + 1
+            numbers[own] = self.young.add(hashes[own], ids, np.diff(ends, prepend=0))
+        own = np.flatnonzero(~plain)
+        if len(own):
+            texts = [block.text(a, a + n) for a, n in zip(starts[own].tolist(), lengths[own].tolist())]
+            numbers[own] = self.young.add(hashes[own], *self._encoded(texts))
+        return numbers
+
     def encode(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the block, and where each row's begin (one more entry than rows)."""
         starts = self._starts(block)
@@ -148,19 +191,18 @@ class ChunkEncoder:
         hashes = segment_hashes(block.data, starts, lengths)
         unique, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         size = len(self.young.index)
-        if size and (size + len(unique) > self.limit or self.young.used > 25_000_000):
+        if size and (size + len(unique) > self.limit or self.young.used > self.POOL):
             self.young, self.old = _Lists(), self.young
-        names = unique.tolist()
-        number = numbers_of(self.young.index, names)
+        number = self.young.index.find(unique)
         new = np.flatnonzero(number < 0)
-        if len(new) and self.old.index:
-            older = numbers_of(self.old.index, [names[i] for i in new.tolist()])
-            back = new[older >= 0]
-            number[back] = self.young.add([names[i] for i in back.tolist()], *self.old.ids(older[older >= 0]))
+        older = self.old.index.find(unique[new])
+        back = new[older >= 0]
+        if len(back):
+            number[back] = self.young.add(unique[back], *self.old.ids(older[older >= 0]))
             new = new[older < 0]
         if len(new):
-            texts = [block.text(starts[i], starts[i] + lengths[i]) for i in first[new].tolist()]
-            number[new] = self.young.add([names[i] for i in new.tolist()], *self._encoded(texts))
+            at = first[new]
+            number[new] = self._learn(block, starts[at], lengths[at], unique[new])
         ids, sizes = self.young.ids(number[inverse])
         ends = np.concatenate([[0], np.cumsum(sizes)])
         return ids, ends[np.searchsorted(starts, block.offsets)]

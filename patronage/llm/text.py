@@ -131,6 +131,31 @@ class Words:
         return self.data[start : start + self.lengths[index]].tobytes().decode("utf-8", "replace")
 
 
+class Index:
+    """Numbers by 64-bit hash, in two sorted arrays."""
+
+    def __init__(self):
+        self.hashes, self.numbers = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+    def __len__(self) -> int:
+        return len(self.hashes)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The numbers of sorted hashes, -1 for those that are not there."""
+        if not len(self.hashes):
+            return np.full(len(hashes), -1)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == hashes, self.numbers[at], -1)
+
+    def add(self, hashes: np.ndarray) -> np.ndarray:
+        """Give sorted new hashes the next numbers."""
+        numbers = np.arange(len(self.hashes), len(self.hashes) + len(hashes))
+        at = np.searchsorted(self.hashes, hashes)
+        self.hashes = np.insert(self.hashes, at, hashes)
+        self.numbers = np.insert(self.numbers, at, numbers)
+        return numbers
+
+
 class Memo:
     """Rows of numbers by hash, computed once per distinct segment and kept up to a bound.
 
@@ -145,48 +170,40 @@ class Memo:
         self.compute, self.limit = compute, max(1, limit // 2)
         self.width, self.dtype = width, dtype
         self._start()
-        self.old_index, self.old_rows = {}, self.rows
+        self.old_index, self.old_rows = self.index, self.rows
 
     def _start(self) -> None:
-        self.index: dict[int, int] = {}
+        self.index = Index()
         self.rows = np.zeros((1024, self.width), dtype=self.dtype)
 
-    def _add(self, hashes: list[int], values: np.ndarray) -> np.ndarray:
+    def _add(self, hashes: np.ndarray, values: np.ndarray) -> np.ndarray:
         at = len(self.index)
         if at + len(hashes) > len(self.rows):
             grown = np.zeros((2 * (at + len(hashes)), self.width), self.dtype)
             grown[:at] = self.rows[:at]
             self.rows = grown
         self.rows[at : at + len(hashes)] = values
-        numbers = np.arange(at, at + len(hashes))
-        self.index.update(zip(hashes, numbers.tolist()))
-        return numbers
+        return self.index.add(hashes)
 
     def lookup(self, hashes: np.ndarray, text_of: Callable[[int], str]) -> np.ndarray:
         """The rows of all hashes; ``text_of`` gives the text of an index among them."""
         unique, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        if self.index and len(self.index) + len(unique) > self.limit:
+        if len(self.index) and len(self.index) + len(unique) > self.limit:
             self.old_index, self.old_rows = self.index, self.rows
             self._start()
-        names = unique.tolist()
-        found = numbers_of(self.index, names)
+        found = self.index.find(unique)
         lost = np.flatnonzero(found < 0)
-        if len(lost) and self.old_index:
-            older = numbers_of(self.old_index, [names[i] for i in lost.tolist()])
-            back = lost[older >= 0]
-            found[back] = self._add([names[i] for i in back.tolist()], self.old_rows[older[older >= 0]])
+        older = self.old_index.find(unique[lost])
+        back = lost[older >= 0]
+        if len(back):
+            found[back] = self._add(unique[back], self.old_rows[older[older >= 0]])
             lost = lost[older < 0]
         if len(lost):
             values = self.compute([text_of(i) for i in first[lost].tolist()])
-            found[lost] = self._add([names[i] for i in lost.tolist()], values)
+            found[lost] = self._add(unique[lost], values)
         return self.rows[found[inverse]]
 
 
-def numbers_of(index: dict[int, int], names: list[int]) -> np.ndarray:
-    find = index.get
-    return np.fromiter((find(h, -1) for h in names), np.int64, len(names))
-
-
 _KEPT: dict[str, tuple[object, object]] = {}
 
 
