@@ -8,6 +8,7 @@ from patronage.llm.columns import table
 from patronage.llm.decontaminate import contamination
 from patronage.llm.exact_dedup import exact_groups
 from patronage.llm.language_id import identify_language
+from patronage.llm.lexical_search import ranked_search
 from patronage.llm.near_dedup import near_groups
 from patronage.llm.packing import pack_documents
 from patronage.llm.quality import score_quality
@@ -69,6 +70,10 @@ def op11_suffix_dedup(spark, sf_dir):
     return suffix_digest(table(spark, sf_dir, "documents"))
 
 
+def op12_lexical_search(spark, sf_dir):
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_decontamination": op2_decontamination,
@@ -81,6 +86,7 @@ QUERIES = {
     "op9_repeated_passages": op9_repeated_passages,
     "op10_packing": op10_packing,
     "op11_suffix_dedup": op11_suffix_dedup,
+    "op12_lexical_search": op12_lexical_search,
 }
 
 ORACLES = {
@@ -96,4 +102,31 @@ g AS (
 SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept,
   SHA256(d.normal) AS text_sha256
 FROM d JOIN g ON d.normal = g.normal""",
+    "op12_lexical_search": r"""
+WITH word AS (
+  SELECT doc_id, UNNEST(REGEXP_EXTRACT_ALL(
+    TRANSLATE(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents),
+tf AS (SELECT doc_id, term, COUNT(*) AS tf FROM word GROUP BY doc_id, term),
+doc AS (SELECT doc_id, CAST(SUM(tf) AS BIGINT) AS n FROM tf GROUP BY doc_id),
+total AS (SELECT COUNT(*) AS docs, CAST(SUM(n) AS BIGINT) AS words FROM doc),
+wanted AS (
+  SELECT DISTINCT item_id, UNNEST(REGEXP_EXTRACT_ALL(
+    TRANSLATE(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+weight AS (
+  SELECT term, CAST(FLOOR(1000 * LN((2 * docs + 2) / (2 * COUNT(*) + 1))) AS BIGINT) AS w
+  FROM tf, total GROUP BY term, docs),
+scored AS (
+  SELECT item_id, doc_id, CAST(SUM(w * ((1000000000 * tf)
+    // (1000 * tf + 20 * (100 - 50 + ((50 * n * docs) // words))))) AS BIGINT) AS score
+  FROM wanted JOIN weight USING (term) JOIN tf USING (term) JOIN doc USING (doc_id), total
+  GROUP BY item_id, doc_id),
+ranked AS (
+  SELECT item_id, CAST(ROW_NUMBER() OVER (
+    PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+  FROM scored WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 50""",
 }
