@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
+from patronage.llm.collocations import collocations
 from patronage.llm.columns import table
 from patronage.llm.decontaminate import contamination
 from patronage.llm.exact_dedup import exact_groups
@@ -74,6 +75,10 @@ def op12_lexical_search(spark, sf_dir):
     return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
 
 
+def op13_collocations(spark, sf_dir):
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_decontamination": op2_decontamination,
@@ -87,6 +92,7 @@ QUERIES = {
     "op10_packing": op10_packing,
     "op11_suffix_dedup": op11_suffix_dedup,
     "op12_lexical_search": op12_lexical_search,
+    "op13_collocations": op13_collocations,
 }
 
 ORACLES = {
@@ -129,4 +135,37 @@ ranked AS (
     PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
   FROM scored WHERE score > 0)
 SELECT * FROM ranked WHERE rank <= 50""",
+    "op13_collocations": r"""
+WITH piece AS (
+  SELECT COALESCE(lang, 'und') AS lang, UNNEST(REGEXP_SPLIT_TO_ARRAY(
+    TRANSLATE(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+seq AS (SELECT lang, REGEXP_EXTRACT_ALL(piece, '[^\x20\x09]+') AS w FROM piece),
+gram AS (
+  SELECT lang, k, w[i : i + k - 1] AS p, COUNT(*) AS f
+  FROM (SELECT lang, w, k, UNNEST(RANGE(1, LEN(w) - k + 2)) AS i
+    FROM seq, (SELECT UNNEST(RANGE(1, 6)) AS k) WHERE LEN(w) >= k)
+  GROUP BY lang, k, w[i : i + k - 1]),
+total AS (SELECT lang, SUM(f) AS n FROM gram WHERE k = 1 GROUP BY lang),
+candidate AS (SELECT * FROM gram WHERE k > 1 AND f >= 100),
+held AS (
+  SELECT DISTINCT lang, f, p FROM (
+    SELECT lang, f, p[1 : k - 1] AS p FROM candidate WHERE k > 2
+    UNION ALL SELECT lang, f, p[2 : k] AS p FROM candidate WHERE k > 2)),
+cut AS (
+  SELECT c.lang, c.k, c.p, c.f AS a, x.f AS l, y.f AS r, n, j,
+    (1000 * c.f::HUGEINT * n) // (x.f::HUGEINT * y.f) AS score
+  FROM (SELECT c.*, UNNEST(RANGE(1, k)) AS j FROM candidate c ANTI JOIN held USING (lang, f, p)) c
+  JOIN total USING (lang)
+  JOIN gram x ON x.lang = c.lang AND x.p = c.p[1 : j]
+  JOIN gram y ON y.lang = c.lang AND y.p = c.p[j + 1 : c.k]),
+best AS (
+  SELECT * FROM cut QUALIFY ROW_NUMBER() OVER (PARTITION BY lang, p ORDER BY score, j) = 1),
+ranked AS (
+  SELECT lang, CAST(ROW_NUMBER() OVER (
+    PARTITION BY lang ORDER BY score DESC, a DESC, ARRAY_TO_STRING(p, ' ')) AS INTEGER) AS rank,
+    ARRAY_TO_STRING(p, ' ') AS phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+  FROM best)
+SELECT * FROM ranked WHERE rank <= 2000""",
 }
