@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from patronage.operators import charts, repeat, segments, value
+from patronage.operators import charts, repeat, repeat_fit, segments, value
 from patronage.operators.grains import date_span
+from patronage.session import stage
 from workloads.registry import query
 from workloads.retail import EVENT_RAW_SQL, RFM_COLUMNS, staged_clean, staged_events, with_clean
 from workloads.segment_queries import RFM_CTE
@@ -253,3 +254,30 @@ def value_model_predictions(spark, sf_dir):
     summary = _repeat(staged_clean(spark, sf_dir, "CustomerID", "InvoiceNo", "InvoiceDate", "Revenue"))
     scored = repeat.predict_value(summary, FIXED_PURCHASES, FIXED_SPEND)
     return scored.select("CustomerID", "expected_purchases", "prob_alive", "expected_avg_profit", "predicted_clv")
+
+
+# ---- fitted models
+
+
+def _summary(spark, sf_dir):
+    return _repeat(staged_clean(spark, sf_dir, "CustomerID", "InvoiceNo", "InvoiceDate", "Revenue"))
+
+
+@query()
+def purchase_model_fit(spark, sf_dir):
+    """Parameters of the purchase model; an iteration, not to be said in SQL."""
+    return repeat_fit.fit_table(spark, repeat_fit.fit_purchases(_summary(spark, sf_dir)))
+
+
+@query()
+def spend_model_fit(spark, sf_dir):
+    return repeat_fit.fit_table(spark, repeat_fit.fit_spend(_summary(spark, sf_dir)))
+
+
+@query()
+def value_model_fitted(spark, sf_dir):
+    """Values of all customers from the models fitted on the same table."""
+    summary = stage(_summary(spark, sf_dir), "repeat_summary")
+    purchases, spend = repeat_fit.fit_purchases(summary), repeat_fit.fit_spend(summary)
+    scored = repeat.predict_value(summary, purchases.model, spend.model)
+    return scored.select("CustomerID", "expected_purchases", "prob_alive", "expected_avg_profit", "predicted_clv")
