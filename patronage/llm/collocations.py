@@ -30,7 +30,7 @@ from patronage.session import stage
 LEAST = 100  # occurrences of a candidate
 LONGEST = 5
 KEEP = 2000
-FIRST_WORDS = 16_000  # per language in the first round; four times as many in each later one
+FIRST_SHARE = 0.08  # of a language's words that the first round expands; later rounds twice the last
 MOST_WORDS = 1_000_000  # words whose hashes are sent to the tasks at once
 SETTLE = 4_000  # phrases per language that are settled together
 UNKNOWN = "und"
@@ -40,7 +40,7 @@ UNKNOWN = "und"
 class _Language:
     n: int
     keep: int
-    waiting: list[tuple[int, int, int, int]] = field(default_factory=list)  # (least f, words, bin, part)
+    waiting: list[tuple[int, int, int, int, int]] = field(default_factory=list)  # (least f, words, occurrences, bin, part)
     settled: list[tuple] = field(default_factory=list)
 
     def threshold(self) -> int:
@@ -50,13 +50,14 @@ class _Language:
     def bound(self) -> int:
         return 1000 * self.n // self.waiting[0][0] if self.waiting else -2
 
-    def take(self, most: int) -> list[tuple[int, int]]:
-        """The best bins that may still hold a result, about ``most`` words."""
-        taken = []
-        while self.waiting and self.bound() >= self.threshold() and (most > 0 or not taken):
-            _, words, code, part = self.waiting.pop(0)
+    def take(self, share: float, most_words: int) -> list[tuple[int, int]]:
+        """The best bins that may still hold a result, up to a share of all occurrences."""
+        taken, left = [], share * self.n
+        while self.waiting and self.bound() >= self.threshold() and (left > 0 and most_words > 0 or not taken):
+            _, words, occurrences, code, part = self.waiting.pop(0)
             taken.append((code, part))
-            most -= words
+            left -= occurrences
+            most_words -= words
         return taken
 
     def add(self, found: list[tuple]) -> None:
@@ -95,7 +96,11 @@ class Miner:
         self.languages = {r["lang"]: _Language(r["n"], keep) for r in totals}
         self.totals = self.spark.createDataFrame([(r["lang"], r["n"]) for r in totals], "lang string, n bigint")
         self.words = every.where(F.col("f") >= least).withColumn("bin", _bin(F.col("f")))
-        bins = self.words.groupBy("lang", "bin").agg(F.count("*").alias("words"), F.min("f").alias("f")).collect()
+        bins = (
+            self.words.groupBy("lang", "bin")
+            .agg(F.count("*").alias("words"), F.sum("f").alias("occurrences"), F.min("f").alias("f"))
+            .collect()
+        )
         frequent = sum(b["words"] for b in bins)
         # The frequent words are a filter only; without it the counts are the same.
         self.known = _hashes(self.words) if frequent <= most_words else None
@@ -106,7 +111,8 @@ class Miner:
         for b in sorted(bins, key=lambda b: b["f"]):
             parts = self.parts[b["bin"]]
             for part in range(parts):
-                self.languages[b["lang"]].waiting.append((b["f"], -(-b["words"] // parts), b["bin"], part))
+                sizes = (-(-b[c] // parts) for c in ("words", "occurrences"))
+                self.languages[b["lang"]].waiting.append((b["f"], *sizes, b["bin"], part))
 
     def expand(self, taken: list[tuple[str, int, int]]) -> DataFrame:
         """All phrases that begin with words of the taken bins: lang, phrase, size, a, and
@@ -215,14 +221,14 @@ class Miner:
             for g, own in found.items():
                 self.languages[g].add(own)
 
-    def run(self, first_words: int) -> list[tuple]:
-        most = first_words
+    def run(self, share: float) -> list[tuple]:
         while True:
-            taken = [(g, *t) for g, own in self.languages.items() for t in own.take(most)]
+            each = self.most_words // max(1, len(self.languages))
+            taken = [(g, *t) for g, own in self.languages.items() for t in own.take(share, each)]
             if not taken:
                 break
             self.settle_best(self.expand(taken))
-            most = min(4 * most, self.most_words)
+            share *= 2
         return [
             (g, rank, phrase, a, left, right, own.n, score)
             for g, own in self.languages.items()
@@ -240,7 +246,7 @@ def collocations(
     keep: int = KEEP,
     lang: str = "lang",
     text: str = "text",
-    first_words: int = FIRST_WORDS,
+    first_share: float = FIRST_SHARE,
     settle: int = SETTLE,
     most_words: int = MOST_WORDS,
 ) -> DataFrame:
@@ -248,7 +254,7 @@ def collocations(
     phrase, a, l, r, n, score.
 
     Null text counts as empty, null language as ``und``; repeated rows count each. Equal
-    scores go by falling count, then by the bytes of the phrase. ``first_words``,
+    scores go by falling count, then by the bytes of the phrase. ``first_share``,
     ``settle`` and ``most_words`` bound what is worked on at once and change no result.
     Languages are few: one row of each reaches the driver. Other columns are not read.
     """
@@ -257,4 +263,4 @@ def collocations(
         F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
     miner = Miner(rows, least, longest, keep, settle, most_words)
-    return docs.sparkSession.createDataFrame(miner.run(first_words), RESULT)
+    return docs.sparkSession.createDataFrame(miner.run(first_share), RESULT)

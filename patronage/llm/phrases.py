@@ -10,7 +10,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-from patronage.llm.text import LOWER, Block, blocks, mix, segment_hashes
+from patronage.llm.text import BLOCK, LOWER, Block, blocks, mix, segment_hashes
 
 # Fixed values of the contract: where pieces end, and what stands between words.
 STOPS = b".,;:!?\x0a\x0b\x0c\x0d"
@@ -86,7 +86,7 @@ def pieces_of(batches):
     """(group names, group hashes, pieces) per block of batches that hold group, text."""
     for batch in batches:
         groups = group_hashes(batch.column(0))
-        for first, block in blocks(batch.column(1)):
+        for first, block in blocks(batch.column(1), BLOCK // 2):
             own = slice(first, first + len(block))
             yield batch.column(0).slice(first, len(block)), groups[own], Pieces(block)
 

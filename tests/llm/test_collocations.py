@@ -62,7 +62,7 @@ def test_whole_table(spark, small):
     assert got(collocations(docs, least=12)) == want
 
 
-@pytest.mark.parametrize("first, settle, most", [(3, 2, 1000), (40, 5, 7)])
+@pytest.mark.parametrize("first, settle, most", [(0.05, 2, 1000), (0.5, 5, 7)])
 def test_small_batches_and_few_places(spark, first, settle, most):
     pick = random.Random(settle)
     vocabulary = [f"w{i}" for i in range(25)]
@@ -76,7 +76,7 @@ def test_small_batches_and_few_places(spark, first, settle, most):
     docs = spark.createDataFrame(rows, "lang string, text string").repartition(4)
     for keep in (4, 60):
         want = brute(rows, 10, keep=keep)
-        found = collocations(docs, least=10, keep=keep, first_words=first, settle=settle, most_words=most)
+        found = collocations(docs, least=10, keep=keep, first_share=first, settle=settle, most_words=most)
         assert got(found) == want
 
 
