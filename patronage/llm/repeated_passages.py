@@ -84,8 +84,10 @@ def line_buckets(units: Units, bounds: np.ndarray, bands: int, rows: int) -> np.
     return out
 
 
-def _units(min_words: int, bands: int, rows: int):
-    names = ["doc", "line", "start", "bytes", "first_word", "n_words", "h", "buckets"]
+def _units(is_line: bool, min_words: int, bands: int, rows: int):
+    """Rows of UNIT_SCHEMA for the lines or the sentences of ``min_words`` words or more;
+    sentences have no buckets."""
+    names = ["doc", "line", "start", "bytes", "first_word", "n_words", "h"]
 
     def run(batches):
         for batch in batches:
@@ -95,41 +97,36 @@ def _units(min_words: int, bands: int, rows: int):
                 words = units.words
                 if not len(words.starts):
                     continue
-                for is_line, bounds in ((True, units.lines), (False, units.sentences)):
-                    counts = np.diff(bounds)
-                    keep = np.flatnonzero(counts >= (min_words if is_line else SHINGLE))
-                    h = units.names(bounds)
-                    # A sentence and a line of the same words are different vertices.
-                    h = mix(h + np.uint64(1)) if is_line else h
-                    first, last = bounds[:-1][keep], bounds[1:][keep] - 1
-                    own = block.rows_of(words.starts[first])
-                    start = words.starts[first] - block.offsets[own]
-                    end = units.ends(last) - block.offsets[own]
-                    if is_line:
-                        buckets = line_buckets(units, bounds, bands, rows)[keep].view(np.int64)
-                        ends = np.arange(len(keep) + 1, dtype=np.int32) * bands
-                    else:
-                        buckets, ends = np.zeros(0, np.int64), np.zeros(len(keep) + 1, np.int32)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(docs[row + own]),
-                            pa.array(np.full(len(keep), is_line)),
-                            pa.array(start),
-                            pa.array(end - start),
-                            pa.array(first - words.bounds[own]),
-                            pa.array(counts[keep]),
-                            pa.array(h[keep].view(np.int64)),
-                            pa.ListArray.from_arrays(pa.array(ends), pa.array(buckets.ravel())),
-                        ],
-                        names=names,
-                    )
+                bounds = units.lines if is_line else units.sentences
+                counts = np.diff(bounds)
+                keep = np.flatnonzero(counts >= min_words)
+                h = units.names(bounds)
+                # A sentence and a line of the same words are different vertices.
+                h = mix(h + np.uint64(1)) if is_line else h
+                first, last = bounds[:-1][keep], bounds[1:][keep] - 1
+                own = block.rows_of(words.starts[first])
+                start = words.starts[first] - block.offsets[own]
+                end = units.ends(last) - block.offsets[own]
+                columns = [
+                    pa.array(docs[row + own]),
+                    pa.array(np.full(len(keep), is_line)),
+                    pa.array(start),
+                    pa.array(end - start),
+                    pa.array(first - words.bounds[own]),
+                    pa.array(counts[keep]),
+                    pa.array(h[keep].view(np.int64)),
+                ]
+                if is_line:
+                    buckets = line_buckets(units, bounds, bands, rows)[keep].view(np.int64)
+                    ends = np.arange(len(keep) + 1, dtype=np.int32) * bands
+                    columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(buckets.ravel())))
+                yield pa.RecordBatch.from_arrays(columns, names=[*names, "buckets"][: len(columns)])
 
     return run
 
 
 UNIT_SCHEMA = (
-    "doc bigint, line boolean, start bigint, bytes bigint, first_word bigint, n_words bigint, "
-    "h bigint, buckets array<bigint>"
+    "doc bigint, line boolean, start bigint, bytes bigint, first_word bigint, n_words bigint, h bigint"
 )
 
 
@@ -209,14 +206,17 @@ def repeated_passages(
     source = docs.select(
         F.xxhash64(identity, tie).alias("doc"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text")
     )
-    units = stage(
-        source.select("doc", "text").mapInArrow(_units(min_words, bands, rows), UNIT_SCHEMA), "units"
+    texts_only = source.select("doc", "text")
+    lines = stage(
+        texts_only.mapInArrow(_units(True, min_words, bands, rows), f"{UNIT_SCHEMA}, buckets array<bigint>"), "lines"
     )
+    # Most sentences occur once: they are made twice rather than written.
+    sentences = texts_only.mapInArrow(_units(False, SHINGLE, bands, rows), UNIT_SCHEMA)
     # Equal paragraphs have equal buckets: one row per vertex before they are dealt out.
-    members = units.where("line").groupBy("h").agg(F.first("buckets").alias("buckets"))
+    members = lines.groupBy("h").agg(F.first("buckets").alias("buckets"))
     centred = stage(_centred(members.select(F.explode("buckets").alias("bucket"), "h")), "members")
     pairs = stage(_pairs(centred), "pairs")
-    holders = units.where("line").join(
+    holders = lines.join(
         pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct(), "h", "left_semi"
     )
     place = F.min(F.struct("doc", "start", "bytes")).alias("p")
@@ -250,7 +250,7 @@ def repeated_passages(
     )
     labels = components(links.unionByName(more))
     spread = (
-        units.groupBy("h")
+        lines.groupBy("h")
         .agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
         .join(labels.withColumnRenamed("node", "h"), "h", "left")
         .withColumn("class_id", F.coalesce("label", "h"))
@@ -262,24 +262,39 @@ def repeated_passages(
         .select("class_id")
     )
     vertices = spread.select("h", "class_id").join(repeated, "class_id", "left_semi")
-    found = units.drop("buckets").join(vertices, "h").drop("h")
-    return _occurrences(_in_runs(found, min_words), source)
+    paragraphs = lines.drop("buckets").join(vertices, "h").drop("h")
+    again = sentences.groupBy("h").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high")
+    equal = sentences.join(again.select("h", F.col("h").alias("class_id")), "h").drop("h")
+    return _occurrences(paragraphs.unionByName(_in_runs(equal, min_words)), source)
 
 
 def _in_runs(found: DataFrame, min_words: int) -> DataFrame:
-    """Paragraphs, and sentences of runs that are long enough in all."""
-    along = Window.partitionBy("doc", "line").orderBy("first_word")
-    upto = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    """Sentences of runs that are long enough in all. A run goes on from one sentence to
+    the next if another document has the two in the same order and as near."""
+    along = Window.partitionBy("doc").orderBy("first_word")
     end = F.col("first_word") + F.col("n_words")
-    opens = F.coalesce(F.col("first_word") - F.lag(end).over(along) > GAP_WORDS, F.lit(True))
-    runs = found.withColumn("opens", opens.cast("int")).withColumn("run", F.sum("opens").over(upto))
     # One document's passages share a task: its text is one value of the input already.
-    words = F.sum("n_words").over(Window.partitionBy("doc", "line", "run"))
-    return (
-        runs.withColumn("run_words", F.when(F.col("line"), F.col("n_words")).otherwise(words))
-        .where(F.col("run_words") >= min_words)
-        .drop("opens", "run", "run_words")
+    gap = F.lead("first_word").over(along) - end
+    following = found.dropDuplicates(["doc", "first_word"]).withColumn(
+        "next_id", F.when(gap <= GAP_WORDS, F.lead("class_id").over(along))
+    )
+    following = stage(following, "sentences")
+    pairs = (
+        following.where("next_id IS NOT NULL")
+        .groupBy("class_id", "next_id")
+        .agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
+        .where("low < high")
+        .select("class_id", "next_id", F.lit(True).alias("goes_on"))
+    )
+    upto = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    opens = F.coalesce(~F.lag(F.coalesce("goes_on", F.lit(False))).over(along), F.lit(True))
+    runs = (
+        following.join(pairs, ["class_id", "next_id"], "left")
+        .withColumn("opens", opens.cast("int"))
+        .withColumn("run", F.sum("opens").over(upto))
+        .withColumn("run_words", F.sum("n_words").over(Window.partitionBy("doc", "run")))
     )
+    return runs.where(F.col("run_words") >= min_words).drop("next_id", "goes_on", "opens", "run", "run_words")
 
 
 def _occurrences(found: DataFrame, source: DataFrame) -> DataFrame:

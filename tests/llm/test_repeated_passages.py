@@ -62,10 +62,18 @@ def brute(docs, min_words=25):
     for u in units:
         if not u[1]:
             by_doc[u[0]].append(u)
+    # A run goes on where another document has the same two sentences as near.
+    pairs = defaultdict(set)
+    near = lambda u, v: v[2] - u[2] - len(u[3]) <= 10
+    for doc, own in by_doc.items():
+        own.sort(key=lambda u: u[2])
+        for u, v in zip(own, own[1:]):
+            if near(u, v):
+                pairs[u[3], v[3]].add(doc)
     for own in by_doc.values():
         run = []
-        for u in [*sorted(own, key=lambda u: u[2]), None]:
-            if run and (u is None or u[2] - run[-1][2] - len(run[-1][3]) > 10):
+        for u in [*own, None]:
+            if run and (u is None or not near(run[-1], u) or len(pairs[run[-1][3], u[3]]) < 2):
                 kept += run if sum(len(x[3]) for x in run) >= min_words else []
                 run = []
             run.append(u)
@@ -176,3 +184,14 @@ def test_large_star_group_matches_all_pairs(spark):
     # Only pairs that share no bucket can be missed: once in 1,300 at the limit.
     assert len(missed) <= 4 and max(map(len, classes.values())) >= max(map(len, want)) - 4
     assert all(any(own <= w for w in want) for own in classes.values())
+
+
+def test_unrelated_common_sentences_are_no_passage(spark):
+    """Every sentence occurs in several documents, but no two of them together."""
+    pick = random.Random(12)
+    common = [prose(pick, 8) for _ in range(40)]
+    rows = [(i, " ".join(pick.sample(common, 6))) for i in range(30)]
+    rows += [(100 + i, f"{prose(pick, 9)} {' '.join(common[:5])}") for i in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    found = {r.doc_id for r in repeated_passages(docs).collect()}
+    assert {100, 101} <= found and len(found) < 10
