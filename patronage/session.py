@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,5 +46,57 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    if _OPEN:
+        _OPEN[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+# Paths staged inside the blocks of ``staging`` that are open.
+_OPEN: list[list[str]] = []
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside the block are deleted when it ends. What is built from them
+    must be written before."""
+    _OPEN.append([])
+    try:
+        yield
+    finally:
+        for path in _OPEN.pop():
+            remove(spark, path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    java = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return java.getFileSystem(spark._jsc.hadoopConfiguration()), java
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a path of any store that Spark writes to."""
+    files, java = _file_system(spark, path)
+    files.delete(java, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, java = _file_system(spark, path)
+    return files.exists(java)
+
+
+def replace_text(spark: SparkSession, path: str, text: str) -> None:
+    """Put a short text at a path in one step: readers see the old one or the new one."""
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        spark._jvm.java.net.URI(path) if "://" in path else spark._jvm.java.net.URI(f"file://{path}"),
+        spark._jsc.hadoopConfiguration(),
+    )
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    written = spark._jvm.org.apache.hadoop.fs.Path(f"{path}-{uuid.uuid4().hex}")
+    files, _ = _file_system(spark, path)
+    stream = files.create(written)
+    stream.write(bytearray(text.encode("utf-8")))
+    stream.close()
+    overwrite = spark._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    options = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = overwrite
+    context.rename(written, target, options)

@@ -32,6 +32,7 @@ MODULES = (
     "value_queries",
     "churn_queries",
     "master_queries",
+    "model_queries",
 )
 
 
