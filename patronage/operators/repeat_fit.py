@@ -45,18 +45,18 @@ class Fit:
     passes: int
 
 
-def minimise(evaluate: Evaluate, start: np.ndarray, rounds: int = 60, tolerance: float = 1e-8) -> tuple[np.ndarray, float]:
+def minimise(evaluate: Evaluate, start: np.ndarray, rounds: int = 60, tolerance: float = 1e-7) -> tuple[np.ndarray, float]:
     """The point of least value. ``evaluate`` gives (value, slope) for several points at
     once. Curvature comes from slopes a little apart; a direction of negative curvature
     is turned round, steps are at most 2 long, and the best of several is taken."""
-    point, width = np.array(start, dtype=float), 1e-5
-    steps = (1.0, 0.5, 0.2, 0.05, 0.01, 0.001)
+    point, width = np.array(start, dtype=float), 1e-6
+    steps = (1.0, 0.5, 0.1, 0.01)
     for _ in range(rounds):
-        shifts = [point + s * width * e for e in np.eye(len(point)) for s in (1, -1)]
+        shifts = [point + width * e for e in np.eye(len(point))]
         (value, slope), *around = evaluate([point, *shifts])
         if np.abs(slope).max() < tolerance:
             break
-        curve = np.array([(a[1] - b[1]) / (2 * width) for a, b in zip(around[::2], around[1::2])])
+        curve = np.array([(a[1] - slope) / width for a in around])
         values, vectors = np.linalg.eigh((curve + curve.T) / 2)
         scale = np.maximum(np.abs(values), 1e-6 * max(1.0, np.abs(values).max()))
         move = -vectors @ ((vectors.T @ slope) / scale)
@@ -66,7 +66,7 @@ def minimise(evaluate: Evaluate, start: np.ndarray, rounds: int = 60, tolerance:
         if not tried[best][0] < value:
             break
         point = point + steps[best] * move
-        if value - tried[best][0] < 1e-13 * max(1.0, abs(value)):
+        if value - tried[best][0] < 1e-7 * max(1.0, abs(value)):
             break
     return point, evaluate([point])[0][0]
 
