@@ -204,6 +204,7 @@ def validate_h3(
     )
     top: Sequence = [r["feature"] for r in importance.orderBy(F.desc("importance"), "feature").limit(5).collect()]
     names = F.array(*[F.lit(n) for n in top]).cast("array<string>")
+    # The wording, the limit and the result names.
     return rate.select(
         F.lit(
             "H3: Single-purchase customers have >70% churn, return_rate in top-5 features"

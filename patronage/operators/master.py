@@ -55,6 +55,7 @@ def _risky() -> Column:
 def insights(master: DataFrame) -> DataFrame:
     """Customers and their value in each of the four action groups."""
     segment = F.col("RFM_Segment")
+    # Which customers each group holds.
     groups = {
         "highest_priority": (segment == "At Risk") & _in("CLV_Tier", TOP_TIERS) & _risky(),
         "leave_alone": (segment == "Champions") & (F.col("Churn_Risk_Band") == "Low"),

@@ -154,8 +154,8 @@ def score_rfm(rfm: DataFrame) -> DataFrame:
     """Quartile scores 1..4; recency counts backwards, frequency goes by its rank with
     ties in customer order. Edges are exact, and coinciding edges are allowed."""
     rfm = stage(rfm, "rfm")
-    recency = exact_quantiles(rfm, ["Recency"], QUARTILES, few_values=True)["Recency"]
-    monetary = exact_quantiles(rfm, ["Monetary"], QUARTILES)["Monetary"]
+    edges = exact_quantiles(rfm, ["Recency", "Monetary"], QUARTILES)  # in the same passes
+    recency, monetary = edges["Recency"], edges["Monetary"]
     ranked = running_totals(
         rfm, order="Frequency", tie="CustomerID", rank="_rank", count="_count"
     )
@@ -260,6 +260,7 @@ def validate_h1(segmented: DataFrame) -> DataFrame:
     )
     revenue_share = F.try_divide(from_units("top_amount"), from_units("amount")) * 100
     risk_share = F.try_divide("at_risk", "customers") * 100
+    # The wording, the limits and the result names.
     return counted.select(
         F.lit("H1: Top 20% by RFM score contribute >60% of total revenue").alias("hypothesis"),
         round_even(revenue_share).alias("top_20_revenue_pct"),

@@ -201,6 +201,7 @@ def validate_h2(
         F.try_divide(fine_sum("value"), F.count("value")).alias("mean"),
     )
     share = F.try_divide("unprofitable", "customers") * 100
+    # The wording, the limit and the result names.
     return counted.crossJoin(F.broadcast(quantiles(values, [0.5]))).select(
         F.lit(
             "H2: At current CAC, ≥30% of customers are unprofitable over 6-month horizon"

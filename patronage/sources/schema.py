@@ -34,7 +34,7 @@ _MASTER = (
     "Churn_Risk_Band string, priority_score double"
 )
 
-# Output tables by name. CSV carries no types, so reading back uses these.
+# Output tables by name, with their columns. CSV carries no types, so reading back uses these.
 TABLES = {
     "cleaned_transactions": _TRANSACTIONS + ", is_cancellation boolean, Revenue double",
     "customer_table": (
