@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -40,6 +41,53 @@ def test_neighbours_equal_brute_force(spark, monkeypatch):
     assert neighbours(frame(spark, points)) == brute(points, 5)
 
 
+def test_no_task_sees_all_visitors_of_a_cell(spark, monkeypatch):
+    most = 100
+    monkeypatch.setattr(oversampling, "CELL", 60)
+    monkeypatch.setattr(oversampling, "GROUP", most, raising=False)
+    real = oversampling._searched
+
+    def counted(k):
+        run = real(k)
+
+        def checked(key, visits, members):
+            sizes = len(visits), len(members)
+            found = run(key, visits, members)
+            if max(sizes) > 2 * most or len(found) > (k + 1) * 2 * most:
+                raise ValueError(f"{sizes} rows in one group")
+            return found
+
+        return checked
+
+    monkeypatch.setattr(oversampling, "_searched", counted)
+    rng = np.random.default_rng(5)
+    crowd = rng.normal(0, 1, (1500, 4))  # all in the middle of everything: most cells are visited by most
+    wide = rng.normal(0, 40, (100, 4))  # few points with large cells around the crowd
+    same = np.repeat(rng.normal(0, 1, (30, 4)), 6, axis=0)  # up to six rows of a point count
+    points = list(enumerate(np.concatenate([crowd, wide, same]).tolist()))
+    assert neighbours(frame(spark, points)) == brute(points, 5)
+
+
+def test_search_in_blocks_keeps_what_is_within_the_bound(monkeypatch):
+    monkeypatch.setattr(oversampling, "PAIRS", 64)
+    rng = np.random.default_rng(6)
+    there = rng.integers(0, 4, (50, 3)).astype(float)  # many ties
+    members = pd.DataFrame({"id": rng.permutation(50), "features": list(there)})
+    own = rng.integers(0, 4, (30, 3)).astype(float)
+    bound = np.where(np.arange(30) % 3 == 0, np.inf, 1.5)
+    visits = pd.DataFrame({"point": np.arange(30) + 100, "features": list(own), "bound": bound})
+    found = oversampling._searched(4)((), visits, members)
+    assert {len(f) for f in found["features"]} == {3}
+    for i in range(30):
+        away = np.sqrt(((there - own[i]) ** 2).sum(axis=1))
+        want = sorted((d, j) for d, j in zip(away, members["id"]) if d <= bound[i])[:5]
+        rows = found[found["point"] == 100 + i]
+        assert list(zip(rows["distance"], rows["id"])) == want
+    far = visits.assign(bound=-1.0)
+    assert len(oversampling._searched(4)((), far, members)) == 0
+    assert oversampling._searched(4)((), far, members)["features"].dtype == object
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 4])
 def test_few_points(spark, n):
     points = [(10 * i, [i * i, 1]) for i in range(n)]
