@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from patronage.operators import models, scoring
 from patronage.operators.churn import FEATURES
 from patronage.params import Params
+from workloads import model_queries
 
 SHORT = replace(Params(), boosting_rounds=15, regression_trees=10)
 
@@ -74,6 +75,22 @@ def test_churn_models_find_the_signal(spark):
     assert scoring.auc(weighted.fitted[0].test).first()["auc_roc"] > 0.8
 
 
+@pytest.mark.parametrize("name", ["churn_predictions"])
+def test_churn_queries_ask_for_all_rounds(spark, monkeypatch, name):
+    asked, boosted = [], models.GBTClassifier
+
+    def short(**options):
+        asked.append((options["maxIter"], options["maxDepth"], options["stepSize"], options["subsamplingRate"]))
+        return boosted(**{**options, "maxIter": 2})
+
+    tables = churn_rows(spark, 200)
+    monkeypatch.setattr(models, "GBTClassifier", short)
+    monkeypatch.setattr(model_queries, "_churn_tables", lambda *_: tables)
+    rows = getattr(model_queries, name)(spark, "").collect()
+    assert asked == [(300, 5, 0.05, 0.8)]
+    assert len(rows) == (200 if name == "churn_predictions" else 1)
+
+
 def test_both_classes_are_needed(spark):
     features, labels = churn_rows(spark, 50)
     with pytest.raises(ValueError):
