@@ -75,7 +75,7 @@ def test_churn_models_find_the_signal(spark):
     assert scoring.auc(weighted.fitted[0].test).first()["auc_roc"] > 0.8
 
 
-@pytest.mark.parametrize("name", ["churn_predictions"])
+@pytest.mark.parametrize("name", ["churn_predictions", "hypothesis_churn"])
 def test_churn_queries_ask_for_all_rounds(spark, monkeypatch, name):
     asked, boosted = [], models.GBTClassifier
 
